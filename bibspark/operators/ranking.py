@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,14 +21,14 @@ def with_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "r
     Rows are range-partitioned and sorted, written once to the checkpoint
     folder so that their places are settled, and each partition is shifted by
     the row counts of those before it. What is broadcast has one row per
-    partition.
+    partition. Range bounds are sampled from the rows before they are moved, so
+    the input is kept meanwhile and computed once.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    placed = (
-        df.repartitionByRange(*order).sortWithinPartitions(*order)
-        .checkpoint(eager=True)
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    settled = kept.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
+    kept.unpersist()
+    placed = settled.withColumn("_place", F.monotonically_increasing_id())
     part = F.shiftright("_place", _ROW_BITS)
     sizes = placed.select(part.alias("_part")).groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -427,10 +427,10 @@ def fetch_map_in_pandas(spark, sf):
 
 @query
 def parse_json_cell(spark, sf):
-    rows = feed.authorship_cells(spark, sf)
     parsed = cells.parse_list(F.col("oa_authorships"), catalogue.AUTHORSHIPS_TYPE)
-    ids = F.transform(parsed, lambda a: F.coalesce(a["author"]["id"], F.lit("-")))
-    return rows.select(*LINE_ORDER, F.size(F.coalesce(parsed, F.array())).alias("n_elements"),
+    rows = feed.authorship_cells(spark, sf).withColumn("parsed", parsed)
+    ids = F.transform("parsed", lambda a: F.coalesce(a["author"]["id"], F.lit("-")))
+    return rows.select(*LINE_ORDER, F.coalesce(F.array_size("parsed"), F.lit(0)).alias("n_elements"),
                        F.array_join(ids, "|").alias("author_ids"))
 
 

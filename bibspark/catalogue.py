@@ -181,32 +181,6 @@ LIST_CELLS = {
     "oa_counts_by_year": COUNTS_TYPE,
 }
 
-# The fields of a work record that are read. Dates stay text
-# here; they are parsed by the declared column type afterwards.
-WORK_TYPE = (
-    "struct<id: string, doi: string, title: string, display_name: string,"
-    "publication_year: int, publication_date: string, language: string,"
-    "type: string, cited_by_count: int, fwci: double, is_retracted: boolean,"
-    "updated_date: string, created_date: string,"
-    "primary_location: struct<is_oa: boolean, landing_page_url: string,"
-    " source: struct<id: string, display_name: string, issn_l: string,"
-    "  is_oa: boolean, is_indexed_in_scopus: boolean,"
-    "  host_organization_name: string,"
-    "  host_organization_lineage_names: array<string>, type: string>>,"
-    "biblio: struct<volume: string, issue: string, first_page: string,"
-    " last_page: string>,"
-    "primary_topic: struct<id: string, display_name: string, score: double,"
-    " subfield: struct<display_name: string>,"
-    " field: struct<display_name: string>,"
-    " domain: struct<display_name: string>>,"
-    "citation_normalized_percentile: struct<value: double,"
-    " is_in_top_1_percent: boolean, is_in_top_10_percent: boolean>,"
-    "cited_by_percentile_year: struct<min: int, max: int>,"
-    f"authorships: {AUTHORSHIPS_TYPE},"
-    f"grants: {GRANTS_TYPE},"
-    f"counts_by_year: {COUNTS_TYPE}>"
-)
-
 # Output column -> field of the work record.
 WORK_FIELDS = {
     "oa_id": "id",

@@ -14,18 +14,17 @@ from bibspark import catalogue
 TRUE_WORDS = ["true", "t", "1"]
 FALSE_WORDS = ["false", "f", "0"]
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+NUMBER_OR_INFINITE = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
 ISO_DAY = r"^\s*\d{4}-\d{2}-\d{2}([T ][0-9:.]*\s*(Z|[+-]\d{2}(:?\d{2})?)?)?\s*$"
 
 
 def to_double(text: Column) -> Column:
-    usable = text.rlike(NUMBER) | text.rlike(INFINITE)
-    return F.when(usable, F.trim(text).try_cast("double"))
+    return F.when(text.rlike(NUMBER_OR_INFINITE), text.try_cast("double"))
 
 
 def to_bigint(text: Column) -> Column:
     """Whole number by way of double: a fraction is cut off."""
-    return to_double(text).try_cast("bigint")
+    return F.when(text.rlike(NUMBER), text.try_cast("double").try_cast("bigint"))
 
 
 def to_int(text: Column) -> Column:
@@ -33,11 +32,11 @@ def to_int(text: Column) -> Column:
 
 
 def to_date(text: Column) -> Column:
-    return F.when(text.rlike(ISO_DAY), F.trim(text).try_cast("date"))
+    return F.when(text.rlike(ISO_DAY), text.try_cast("date"))
 
 
 def to_timestamp(text: Column) -> Column:
-    return F.when(text.rlike(ISO_DAY), F.trim(text).try_cast("timestamp_ntz"))
+    return F.when(text.rlike(ISO_DAY), text.try_cast("timestamp_ntz"))
 
 
 def to_boolean(value: Column) -> Column:
@@ -74,8 +73,7 @@ def to_type(value: Column, source: DataType, target: str) -> Column:
     if source.simpleString() == target:
         return value
     if isinstance(source, StringType) and target in _PARSERS:
-        value = _PARSERS[target](value)
-        return nan_to_null(value) if target == "double" else value
+        return _PARSERS[target](value)
     if target == "int":
         return value.try_cast("bigint").try_cast("int")
     return value.try_cast(target)

@@ -11,12 +11,16 @@ DOI_PREFIX = "https://doi.org/"
 DOI_RESOLVER = r"(?i)^https?://doi.org/"
 DOI_START = "10."
 
-EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters that count as white space at the ends of a text.
+SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
+    "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip_space(text: Column) -> Column:
     """Remove leading and trailing white space of any script."""
-    return F.regexp_replace(text, EDGE_SPACE, "")
+    return F.btrim(text, F.lit(SPACE))
 
 
 def format_doi(raw: Column) -> Column:

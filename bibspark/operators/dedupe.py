@@ -43,7 +43,7 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry_or
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct non-NULL values of one column."""
-    return df.select(column).dropna().distinct()
+    return df.select(column).filter(F.col(column).isNotNull()).distinct()
 
 
 def dedupe_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:

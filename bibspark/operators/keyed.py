@@ -13,6 +13,10 @@ MAX_HOT_KEYS = 1_000
 SALTS = 64
 
 
+def _whole(keys: Sequence[str]):
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """The heaviest keys, at most ``MAX_HOT_KEYS`` of those with ``hot_rows`` rows.
 
@@ -20,7 +24,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     list is joined all the same, only without being spread.
     """
     return (
-        df.select(*keys).dropna().groupBy(*keys).agg(F.count("*").alias("_n"))
+        df.select(*keys).filter(_whole(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
         .filter(F.col("_n") >= hot_rows)
         .orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
         .select(*keys, F.lit(True).alias("_hot"))
@@ -35,15 +39,18 @@ def spread_join(
     spread_by: Sequence[str],
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``unique`` (one row per key), spreading hot keys.
 
     The rows of a hot key are dealt to ``salts`` tasks by a hash of
     ``spread_by``; the single partner of that key is repeated once per task.
-    Every other key joins plainly.
+    Every other key joins plainly. The hot keys are counted in ``rows`` unless
+    ``hot`` brings them, which is cheaper where ``rows`` is itself computed from
+    a stored table that holds the key.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(rows, keys, hot_rows))
+    hot = F.broadcast(hot_keys(rows, keys, hot_rows) if hot is None else hot)
     dealt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     left = rows.join(hot, keys, "left").withColumn(
         "_salt", F.when(F.col("_hot"), dealt).otherwise(F.lit(0))
@@ -59,7 +66,7 @@ def spread_join(
 def not_in(rows: DataFrame, done: DataFrame, key: str, done_key: str | None = None,
            spread_by: Sequence[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows whose key does not occur in ``done``; rows without a key stay."""
-    seen = done.select(F.col(f"`{done_key or key}`").alias(key)).dropna().distinct()
+    seen = done.select(F.col(f"`{done_key or key}`").alias(key)).filter(_whole([key])).distinct()
     return spread_join(rows, seen, [key], "left_anti", spread_by or rows.columns, hot_rows)
 
 

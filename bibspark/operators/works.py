@@ -2,37 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from bibspark import catalogue
 from bibspark.functions import cells, coerce
 
 
-def work_record(body: Column) -> Column:
-    """JSON text of a work as a typed record; a bad field is NULL by itself."""
-    return F.try_variant_get(F.try_parse_json(body), "$", catalogue.WORK_TYPE)
+def _text_schema(paths: Iterable[str]) -> StructType:
+    """The record type that holds every dotted path as text."""
+    tree: dict = {}
+    for path in paths:
+        node = tree
+        for name in path.split("."):
+            node = node.setdefault(name, {})
+
+    def build(node: dict) -> StructType:
+        return StructType([
+            StructField(name, build(inner) if inner else StringType()) for name, inner in node.items()
+        ])
 
+    return build(tree)
 
-def _flat(record: str, name: str, path: str, kind: str) -> Column:
-    value = F.col(f"{record}.{path}")
-    if kind == "date":
-        value = coerce.to_date(value)
-    elif kind == "timestamp_ntz":
-        value = coerce.to_timestamp(value)
-    elif name.endswith("lineage_names"):
-        value = cells.json_text(value)
-    return value.alias(name)
+
+WORK_SCHEMA = _text_schema([*catalogue.WORK_FIELDS.values(), *catalogue.WORK_LISTS.values()])
+
+
+def work_record(body: Column) -> Column:
+    """JSON text of a work with the fields that are read, each as text.
+
+    A field of an unexpected kind is NULL by itself. Lists are kept as JSON
+    text, so a list nobody asks for is never taken apart.
+    """
+    return F.from_json(body, WORK_SCHEMA)
 
 
 def work_columns(record: str) -> list[Column]:
-    """The 38 scalar columns and 3 list columns read from a typed work."""
+    """The 38 scalar columns, typed, and the 3 list columns of a work."""
     types = catalogue.TABLES["publications"].types
     scalars = [
-        _flat(record, name, path, types[name])
+        coerce.to_type(F.col(f"{record}.{path}"), StringType(), types[name]).alias(name)
         for name, path in catalogue.WORK_FIELDS.items()
     ]
-    lists = [F.col(f"{record}.{path}").alias(name) for name, path in catalogue.WORK_LISTS.items()]
+    lists = [
+        cells.parse_list(F.col(f"{record}.{path}"), catalogue.LIST_CELLS[name]).alias(name)
+        for name, path in catalogue.WORK_LISTS.items()
+    ]
     return scalars + lists
 
 

@@ -13,7 +13,8 @@ from bibspark import catalogue
 from bibspark.functions.dates import publication_month
 from bibspark.functions.coerce import to_type
 from bibspark.functions.identifiers import format_doi
-from bibspark.operators.frames import null_tokens
+from bibspark.operators.dedupe import distinct_values
+from bibspark.operators.frames import null_tokens, union_by_name
 
 
 class MissingColumns(ValueError):
@@ -58,8 +59,6 @@ def scan_search_csv(spark: SparkSession, path: str | list[str], schema: StructTy
 
 def scan_parts(spark: SparkSession, paths: Sequence[str], format: str = "parquet") -> DataFrame:
     """Parts whose headers may differ, united by column name."""
-    from bibspark.operators.frames import union_by_name
-
     return union_by_name([spark.read.format(format).option("header", True).load(p) for p in paths])
 
 
@@ -75,7 +74,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
 
 def processed_keys(spark: SparkSession, path: str, key: str = "doi") -> DataFrame:
     """Distinct keys of an earlier output; only that column is read."""
-    return read_or_empty(spark, path, f"{key} string").dropna().distinct()
+    return distinct_values(read_or_empty(spark, path, f"{key} string"), key)
 
 
 def backfill_month(df: DataFrame) -> DataFrame:

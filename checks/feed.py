@@ -13,7 +13,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bibspark.functions.identifiers import format_doi
 from bibspark.session import fresh_path
+from bibspark.sources.files import spread_scan
 
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
@@ -42,6 +44,11 @@ def landed(build):
     return read
 
 
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items, dealt to all cores where the file comes in one piece."""
+    return spread_scan(table(spark, sf, "lineitem"))
+
+
 # The shape of a raw DOI: four that are valid, two that are not, one missing.
 RAW_DOI = """
 case o_orderkey % 7
@@ -72,6 +79,13 @@ def search_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@landed
+def prepared_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Search rows with their canonical ``doi``, as the first stage leaves them."""
+    rows = search_rows(spark, sf)
+    return rows.withColumn("doi", format_doi(F.col("prism_doi")))
+
+
 @landed
 def works(spark: SparkSession, sf: str) -> DataFrame:
     """One work record as JSON text per line item."""
@@ -112,7 +126,7 @@ def works(spark: SparkSession, sf: str) -> DataFrame:
       'cited_by_percentile_year', named_struct('min', l_linenumber, 'max', cast(l_quantity as int)),
       'counts_by_year', array(named_struct('year', year(l_shipdate), 'cited_by_count', l_linenumber))
     ))"""
-    return table(spark, sf, "lineitem").selectExpr(
+    return _lines(spark, sf).selectExpr(
         *LINE_ORDER,
         "if(l_returnflag = 'R' and l_linestatus = 'O', null,"
         " 'https://doi.org/10.1000/w' || l_orderkey) as doi",
@@ -129,7 +143,7 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
       'publication_date', date_format(l_shipdate, 'yyyy-MM-dd'),
       'biblio', named_struct('volume', l_linenumber),
       'authorships', array(named_struct('author', named_struct('id', 'S' || l_suppkey)))))"""
-    return table(spark, sf, "lineitem").selectExpr(
+    return _lines(spark, sf).selectExpr(
         *LINE_ORDER,
         "'https://doi.org/10.1000/ord.' || (l_orderkey div 2) as doi",
         "case when l_returnflag <> 'R' then 200 when l_linenumber = 1 then 404"
@@ -211,7 +225,7 @@ def _suppliers(spark: SparkSession, sf: str) -> DataFrame:
 
 @landed
 def authorship_cells(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").join(
+    lines = _lines(spark, sf).join(
         _suppliers(spark, sf), F.col("l_suppkey") == F.col("s_suppkey"))
     return _enriched(lines, AUTHORSHIPS)
 
@@ -219,13 +233,13 @@ def authorship_cells(spark: SparkSession, sf: str) -> DataFrame:
 @landed
 def grant_cells(spark: SparkSession, sf: str) -> DataFrame:
     parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
-    lines = table(spark, sf, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    lines = _lines(spark, sf).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     return _enriched(lines.selectExpr("*", GRANT_LIST), GRANTS)
 
 
 @landed
 def count_cells(spark: SparkSession, sf: str) -> DataFrame:
-    return _enriched(table(spark, sf, "lineitem"), COUNTS)
+    return _enriched(_lines(spark, sf), COUNTS)
 
 
 @landed
@@ -233,7 +247,7 @@ def enriched_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Enriched rows with all three list cells and the search columns."""
     parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
     lines = (
-        table(spark, sf, "lineitem")
+        _lines(spark, sf)
         .join(_suppliers(spark, sf), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .selectExpr("*", GRANT_LIST)

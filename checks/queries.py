@@ -41,9 +41,7 @@ def shown(df: DataFrame) -> DataFrame:
     ])
 
 
-def search_rows(spark, sf):
-    rows = feed.search_rows(spark, sf)
-    return rows.withColumn("doi", format_doi(F.col("prism_doi")))
+search_rows = feed.prepared_rows
 
 
 def latest_responses(spark, sf):
@@ -399,11 +397,17 @@ def exclude_existing(spark, sf):
 @query
 def star_join_read(spark, sf):
     rows = normalize.typed_rows(feed.authorship_cells(spark, sf))
-    links = normalize.authorship_institutions(rows, LINE_ORDER)
-    people = normalize.authors(rows, LINE_ORDER)
-    places = normalize.institutions(rows, LINE_ORDER)
-    with_people = keyed.spread_join(links, people, ["oa_author_id"], "inner", ["doi", "oa_institution_id"])
-    full = keyed.spread_join(with_people, places, ["oa_institution_id"], "inner", ["doi", "oa_author_id"])
+    stored_as = {}
+    for name in ("authorship_institutions", "authors", "institutions"):
+        path = fresh_path(spark, name)
+        normalize.BUILDERS[name](rows, LINE_ORDER).write.parquet(path)
+        stored_as[name] = spark.read.parquet(path)
+    links = stored_as["authorship_institutions"]
+    named = keyed.spread_join(
+        links, stored_as["authors"], ["oa_author_id"], "inner", ["doi", "oa_institution_id"])
+    full = keyed.spread_join(
+        named, stored_as["institutions"], ["oa_institution_id"], "inner", ["doi", "oa_author_id"],
+        hot=keyed.hot_keys(links, ["oa_institution_id"]))
     return full.select("doi", "oa_author_id", "oa_author_name", "oa_institution_id",
                        "oa_institution_name", "oa_institution_country_code")
 
@@ -600,7 +604,8 @@ def union_existing_new(spark, sf):
 
 @query
 def format_doi_values(spark, sf):
-    return search_rows(spark, sf).select("ingest_seq", "doi")
+    rows = feed.search_rows(spark, sf)
+    return rows.select("ingest_seq", format_doi(F.col("prism_doi")).alias("doi"))
 
 
 QUERIES["format_doi"] = QUERIES.pop("format_doi_values")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -13,6 +15,7 @@ from bibspark.functions.cells import json_text, parse_list
 from bibspark.operators import explode as ex
 from bibspark.operators.dedupe import keep_first, keep_last
 from bibspark.operators.frames import conform, project_available
+from bibspark.sinks.files import save, write_table_parts
 
 
 def typed_rows(enriched: DataFrame) -> DataFrame:
@@ -124,20 +127,30 @@ def normalize(enriched: DataFrame, order: Sequence[str]) -> dict[str, DataFrame]
     return {name: build(rows, order) for name, build in BUILDERS.items()}
 
 
-def write_normalized(enriched: DataFrame, order: Sequence[str], root: str,
-                     staging: str | None = None) -> dict[str, str]:
-    """Write all ten tables below ``root``.
+def write_normalized(enriched: DataFrame, order: Sequence[str], root: str, staging: str | None = None,
+                     rows_per_part: int | None = None, format: str = "parquet", jobs: int = 4) -> dict[str, str]:
+    """Write all ten tables below ``root``, ``jobs`` of them at a time.
 
     With ``staging`` the parsed rows are written there once as Parquet and every
     table reads back only the columns it needs; without it each table parses
-    its own cells.
+    its own cells. With ``rows_per_part`` a table comes in parts of exactly that
+    many rows, and an empty table is left out.
     """
+    spark = enriched.sparkSession
     rows = typed_rows(enriched)
     if staging:
         rows.write.mode("overwrite").parquet(staging)
-        rows = enriched.sparkSession.read.schema(rows.schema).parquet(staging)
-    paths = {}
-    for name, build in BUILDERS.items():
-        paths[name] = f"{root}/{name}"
-        build(rows, order).write.mode("overwrite").parquet(paths[name])
-    return paths
+        rows = spark.read.schema(rows.schema).parquet(staging)
+
+    def write(name: str) -> tuple[str, str]:
+        spec, path = catalogue.TABLES[name], f"{root}/{name}"
+        table = BUILDERS[name](rows, order)
+        if rows_per_part:
+            write_table_parts(table, path, spec.columns, spec.dedupe_key, rows_per_part, format)
+        else:
+            save(table, path, format)
+        return name, path
+
+    with ThreadPoolExecutor(jobs) as pool:
+        tasks = [pool.submit(inheritable_thread_target(spark)(write), name) for name in BUILDERS]
+        return dict(task.result() for task in tasks)

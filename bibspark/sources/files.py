@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
 from bibspark import catalogue
 from bibspark.functions.dates import publication_month
 from bibspark.functions.coerce import to_type
 from bibspark.functions.identifiers import format_doi
 from bibspark.operators.dedupe import distinct_values
-from bibspark.operators.frames import null_tokens, union_by_name
+from bibspark.operators.frames import conform, null_tokens, union_by_name
 
 
 class MissingColumns(ValueError):
@@ -32,34 +32,42 @@ def spread_scan(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def scan_csv(spark: SparkSession, path: str | list[str], schema: StructType | str,
-             required: Sequence[str] = (), clean: bool = True) -> DataFrame:
-    """Delimited files with a header: quoted newlines, doubled quotes and a
-    byte-order mark are understood; missing-value texts become NULL.
+def scan_csv(spark: SparkSession, path: str | list[str], ddl: str,
+             required: Sequence[str] = ()) -> DataFrame:
+    """The columns declared in ``ddl`` from delimited files with a header.
 
-    Columns are read by ``schema``. A file that lacks one of ``required`` is
-    refused from its header.
+    Columns are found by name, whatever else the files hold and in whatever
+    order; a declared column the files lack is NULL, unless it is ``required``.
+    Quoted line breaks, doubled quotes and a byte-order mark are understood.
+    Missing-value texts become NULL, then every value is parsed to its declared
+    type. Files read together share one header; see ``scan_parts`` for others.
     """
     reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
-    if required:
-        present = reader.options(inferSchema=False).csv(path).columns
-        missing = [c for c in required if c not in present]
-        if missing:
-            raise MissingColumns(f"input lacks columns {missing}")
-    frame = reader.schema(schema).csv(path, enforceSchema=False)
-    return null_tokens(frame) if clean else frame
+    header = reader.csv(path).columns
+    missing = [c for c in required if c not in header]
+    if missing:
+        raise MissingColumns(f"input lacks columns {missing}")
+    texts = StructType([StructField(name, StringType()) for name in header])
+    frame = reader.schema(texts).csv(path, enforceSchema=False)
+    types = {f.name: f.dataType.simpleString() for f in _parse_datatype_string(ddl).fields}
+    return conform(null_tokens(frame.select(*[c for c in types if c in header])), types)
 
 
-def scan_search_csv(spark: SparkSession, path: str | list[str], schema: StructType | str,
+def scan_search_csv(spark: SparkSession, path: str | list[str], ddl: str,
                     raw_doi: str = "prism_doi") -> DataFrame:
     """Search rows from delimited files, with the canonical ``doi`` added."""
-    frame = scan_csv(spark, path, schema, required=[raw_doi])
+    frame = scan_csv(spark, path, ddl, required=[raw_doi])
     return frame.withColumn("doi", format_doi(F.col(raw_doi)))
 
 
-def scan_parts(spark: SparkSession, paths: Sequence[str], format: str = "parquet") -> DataFrame:
-    """Parts whose headers may differ, united by column name."""
-    return union_by_name([spark.read.format(format).option("header", True).load(p) for p in paths])
+def scan_parts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Parquet parts whose columns may differ, united by column name."""
+    return union_by_name([spark.read.parquet(p) for p in paths])
+
+
+def scan_csv_parts(spark: SparkSession, paths: Sequence[str], ddl: str) -> DataFrame:
+    """Delimited parts whose headers may differ, as the declared columns."""
+    return union_by_name([scan_csv(spark, p, ddl) for p in paths])
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

@@ -65,37 +65,32 @@ def publications(rows: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def publication_authorships(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    found = ex.authorships(ex.authorship_rows(rows, order), order)
-    return _first(found, "publication_authorships", [*order, "a_pos"])
+    return _first(ex.authorships(rows, order), "publication_authorships", [*order, "a_pos"])
 
 
 def authors(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    found = ex.authors(ex.authorship_rows(rows, order), order)
-    return _first(found, "authors", [*order, "a_pos"])
+    return _first(ex.authors(rows, order), "authors", [*order, "a_pos"])
 
 
 def authorship_institutions(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    found = ex.institution_rows(ex.authorship_rows(rows, order), order)
-    return _first(
-        ex.authorship_institutions(found, order), "authorship_institutions", [*order, "a_pos", "i_pos"]
-    )
+    found = ex.authorship_institutions(rows, order)
+    return _first(found, "authorship_institutions", [*order, "a_pos", "i_pos"])
 
 
 def institutions(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    found = ex.institution_rows(ex.authorship_rows(rows, order), order)
-    return _first(ex.institutions(found, order), "institutions", [*order, "a_pos", "i_pos"])
+    return _first(ex.institutions(rows, order), "institutions", [*order, "a_pos", "i_pos"])
 
 
 def authorship_countries(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    return ex.authorship_countries(ex.authorship_rows(rows, [])).distinct()
+    return ex.authorship_countries(rows).distinct()
 
 
 def publication_funding(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    return ex.funding(ex.grant_rows(rows, [])).distinct()
+    return ex.funding(rows).distinct()
 
 
 def funders(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    return _first(ex.funders(ex.grant_rows(rows, order), order), "funders", [*order, "g_pos"])
+    return _first(ex.funders(rows, order), "funders", [*order, "g_pos"])
 
 
 def publication_citation_counts(rows: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -329,8 +329,8 @@ def filter_valid_keys(spark, sf):
 @query
 def filter_element_ids(spark, sf):
     rows = normalize.typed_rows(feed.authorship_cells(spark, sf))
-    found = explode.authorship_rows(rows, LINE_ORDER)
-    return found.select(*LINE_ORDER, "a_pos", F.col("a.author.id").alias("author_id"))
+    found = explode.authorship_rows(rows, LINE_ORDER, {})
+    return found.select(*LINE_ORDER, "a_pos", F.col("oa_author_id").alias("author_id"))
 
 
 def _search_records(spark, sf):
@@ -489,9 +489,8 @@ def norm_raw_search_keyed(spark, sf):
 
 @query
 def join_affiliations(spark, sf):
-    rows = explode.authorship_rows(normalize.typed_rows(feed.authorship_cells(spark, sf)), LINE_ORDER)
-    return rows.select(*LINE_ORDER, "a_pos",
-                       cells.join_texts(F.col("a.raw_affiliation_strings")).alias("affiliations"))
+    rows = explode.affiliations(normalize.typed_rows(feed.authorship_cells(spark, sf)), LINE_ORDER)
+    return rows.select(*LINE_ORDER, "a_pos", F.col("oa_raw_affiliation_string").alias("affiliations"))
 
 
 @query

@@ -251,3 +251,11 @@ def test_load_twice_is_load_once(spark, tmp_path):
 def test_entry_is_registered_whole():
     from __spark_entry__ import oracle_sql, queries
     assert set(queries()) == set(oracle_sql())
+
+
+def test_stored_rows_are_read_by_field(spark, tmp_path):
+    rows = normalize.typed_rows(enriched(spark))
+    rows.write.parquet(str(tmp_path / "typed"))
+    stored_rows = spark.read.schema(rows.schema).parquet(str(tmp_path / "typed"))
+    plan = normalize.authorship_countries(stored_rows, ["seq"])._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<doi:string,oa_authorships:array<struct<author:struct<id:string>,countries" in plan

@@ -91,6 +91,26 @@ def _pieces(text: np.ndarray, alphabet: np.ndarray) -> Iterator[tuple[int, np.nd
         at = to
 
 
+def slices(documents: list[bytes], alphabet: np.ndarray):
+    """(first document, bytes, bounds) of about a megabyte; a longer text comes in pieces."""
+    lengths = np.fromiter(map(len, documents), np.int64, len(documents))
+    at = 0
+    while at < len(documents):
+        if lengths[at] > _SLICE:
+            for _, piece in _pieces(np.frombuffer(documents[at], np.uint8), alphabet):
+                yield at, piece, np.array([0, len(piece)])
+            at += 1
+            continue
+        to = at + 1
+        size = lengths[at]
+        while to < len(documents) and size + lengths[to] <= _SLICE:
+            size += lengths[to]
+            to += 1
+        bounds = np.concatenate([[0], np.cumsum(lengths[at:to])])
+        yield at, np.frombuffer(b"".join(documents[at:to]), np.uint8), bounds
+        at = to
+
+
 def doc_words(documents: list[bytes], alphabet: np.ndarray):
     """For each text: the hashes of its words, their starts and their ends in bytes."""
     lengths = np.fromiter(map(len, documents), np.int64, len(documents))
@@ -103,9 +123,11 @@ def doc_words(documents: list[bytes], alphabet: np.ndarray):
             yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
             at += 1
             continue
-        ends = np.cumsum(lengths[at:])
-        to = at + max(1, int(np.searchsorted(ends, _SLICE, "right")))
-        bounds = np.concatenate([[0], ends[: to - at]])
+        to, size = at + 1, lengths[at]
+        while to < len(documents) and size + lengths[to] <= _SLICE:
+            size += lengths[to]
+            to += 1
+        bounds = np.concatenate([[0], np.cumsum(lengths[at:to])])
         data = np.frombuffer(b"".join(documents[at:to]), np.uint8)
         hashes, start, end = _hash_slice(data, bounds, alphabet)
         cuts = np.searchsorted(start, bounds)

@@ -12,8 +12,11 @@ import re
 
 import numpy as np
 
-#: White space beyond blank, tab and line ends. Texts that have any are encoded whole.
-_RARE_SPACE = "\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿"
+#: White space beyond blank, tab and line ends, and signs near it. Texts that have any are encoded whole.
+_RARE_SPACE = "".join(map(chr, [
+    0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F,
+    0x205F, 0x3000, 0xFEFF,
+]))
 _UNSURE = re.compile(f"[ \t\n\r] |[{_RARE_SPACE}]")
 _SPACE = re.compile(rf"[\s{_RARE_SPACE}]")
 _KNOWN = 300_000  # pieces whose ids a worker remembers; others are encoded again

@@ -40,6 +40,8 @@ def main() -> None:
         f"local[{cpus}]", "bench", spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false", spark__driver__memory="16g",
         spark__ui__showConsoleProgress="false",
+        # tables this small would otherwise be one task each
+        spark__sql__files__maxPartitionBytes="4m", spark__sql__adaptive__advisoryPartitionSizeInBytes="2m",
     )
     spark.sparkContext.setLogLevel("ERROR")
     started = time.time()

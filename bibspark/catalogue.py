@@ -13,6 +13,7 @@ class Table:
     ddl: str
     key: tuple[str, ...]
     dedupe_key: tuple[str, ...]
+    nullable_key: tuple[str, ...] = ()  # parts of the key that may be NULL
 
     @property
     def columns(self) -> list[str]:
@@ -22,10 +23,6 @@ class Table:
     def types(self) -> dict[str, str]:
         return dict(part.split() for part in self.ddl.split(","))
 
-    @property
-    def attributes(self) -> list[str]:
-        return [c for c in self.columns if c not in self.dedupe_key]
-
     @property
     def schema(self) -> StructType:
         return _parse_datatype_string(self.ddl)
@@ -119,6 +116,7 @@ _TABLES = [
         "doi string, oa_funder_id string, oa_award_id string",
         key=("doi", "oa_funder_id", "oa_award_id"),
         dedupe_key=("doi", "oa_funder_id", "oa_award_id"),
+        nullable_key=("oa_award_id",),
     ),
     Table(
         "publication_citation_counts",

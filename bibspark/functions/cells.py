@@ -45,13 +45,23 @@ def compact(values: Column) -> Column:
     return F.filter(texts, lambda t: t.isNotNull() & (t != ""))
 
 
+def _true(value: Column) -> Column:
+    """Whether a JSON value counts as something: not null, "", 0, false, [] or {}."""
+    kind = F.schema_of_variant(value)
+    number = F.try_variant_get(value, "$", "double")
+    text = F.try_variant_get(value, "$", "string")
+    return F.when(kind == "VOID", False).when(kind == "STRING", text != "").when(kind == "BOOLEAN", text == "true").when(
+        kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~text.isin("[]", "{}")).otherwise(number != 0)
+
+
 def compact_item(item: Column) -> Column:
     """Texts held by a JSON item: the values of an object, the elements of a
     list, or the scalar itself; empty ones left out."""
     value = F.try_parse_json(item)
     elements = F.coalesce(
-        F.try_variant_get(value, "$", "array<string>"),
-        F.map_values(F.try_variant_get(value, "$", "map<string,string>")),
-        F.array(F.coalesce(F.try_variant_get(value, "$", "string"), item)),
+        F.try_variant_get(value, "$", "array<variant>"),
+        F.map_values(F.try_variant_get(value, "$", "map<string,variant>")),
+        F.when(value.isNotNull(), F.array(value)),
     )
-    return compact(elements)
+    kept = F.filter(elements, lambda v: F.coalesce(v.isNotNull() & _true(v), F.lit(False)))
+    return F.coalesce(F.transform(kept, lambda v: F.try_variant_get(v, "$", "string")), compact(F.array(item)))

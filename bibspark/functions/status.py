@@ -25,10 +25,15 @@ _EMPTY_OBJECT = r"^\s*\{\s*\}\s*$"
 def is_record(body: Column) -> Column:
     """Whether the text is a JSON object with at least one field."""
     return F.coalesce(
-        body.rlike(r"^\s*\{") & ~body.rlike(_EMPTY_OBJECT), F.lit(False)
+        body.rlike(r"^\s*\{") & ~body.rlike(_EMPTY_OBJECT) & F.try_parse_json(body).isNotNull(), F.lit(False)
     )
 
 
+def is_broken(body: Column) -> Column:
+    """Whether something was landed that is no JSON."""
+    return F.coalesce((F.trim(body) != "") & F.try_parse_json(body).isNull(), F.lit(False))
+
+
 def lookup_status(
     http_status: Column, error_kind: Column, error_message: Column, body: Column
 ) -> Column:
@@ -44,6 +49,7 @@ def lookup_status(
         .when(http_status >= 400, F.format_string(HTTP_ERROR, http_status, message))
         .when(error_kind == "network", F.format_string(NETWORK, message))
         .when(error_kind.isNotNull(), F.format_string(UNEXPECTED, message))
+        .when(is_broken(body), F.lit(UNEXPECTED % "response is no JSON"))
         .when(is_record(body), F.lit(SUCCESS))
         .otherwise(F.lit(NOT_FOUND))
     )

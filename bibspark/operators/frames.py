@@ -101,13 +101,19 @@ def nested_to_json(df: DataFrame) -> DataFrame:
     ])
 
 
-def enriched_layout(original: Sequence[str], added: Sequence[str], raw_doi: str = "prism_doi") -> list[str]:
-    """Column order of enriched rows: the identifier next to its raw form, the
-    status next to the identifier, everything new at the end."""
-    names = list(original)
-    if "doi" not in names and raw_doi in names:
-        names.insert(names.index(raw_doi) + 1, "doi")
-    if "oa_status" not in names:
-        at = names.index("doi") + 1 if "doi" in names else len(names)
-        names.insert(at, "oa_status")
-    return names + [c for c in added if c not in names]
+_STATUS_GROUP = ("doi", "oa_status")
+
+
+def enriched_layout(search: Sequence[str], work: Sequence[str], raw_doi: str = "prism_doi") -> list[str]:
+    """Columns of enriched rows: the search columns, the status group, the work columns.
+
+    The status group follows the raw identifier, or the search columns where these
+    hold no raw identifier. A name belongs to the first group that declares it, the
+    status group before the others.
+    """
+    plain = [c for c in search if c not in _STATUS_GROUP]
+    place = plain.index(raw_doi) + 1 if raw_doi in plain else len(plain)
+    has_key = raw_doi in plain or "doi" in search
+    group = _STATUS_GROUP if has_key else _STATUS_GROUP[1:]
+    rest = [c for c in work if c not in {*plain, *_STATUS_GROUP}]
+    return [*plain[:place], *group, *plain[place:], *rest]

@@ -8,66 +8,23 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
-SALTS = 64
-
-
 def _whole(keys: Sequence[str]):
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys, at most ``MAX_HOT_KEYS`` of those with ``hot_rows`` rows.
-
-    The limit bounds what is broadcast. It loses nothing: a key outside the
-    list is joined all the same, only without being spread.
-    """
-    return (
-        df.select(*keys).filter(_whole(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-
-
-def spread_join(
-    rows: DataFrame,
-    unique: DataFrame,
-    keys: Sequence[str],
-    how: str,
-    spread_by: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Join ``rows`` to ``unique`` (one row per key), spreading hot keys.
+def join_unique(rows: DataFrame, unique: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join ``rows`` to ``unique``, which has one row per key.
 
-    The rows of a hot key are dealt to ``salts`` tasks by a hash of
-    ``spread_by``; the single partner of that key is repeated once per task.
-    Every other key joins plainly. The hot keys are counted in ``rows`` unless
-    ``hot`` brings them, which is cheaper where ``rows`` is itself computed from
-    a stored table that holds the key.
+    A plain join by key: it computes each side once, and where a key carries a large
+    share of the rows the adaptive skew join splits them and repeats their partner.
     """
-    keys = list(keys)
-    hot = F.broadcast(hot_keys(rows, keys, hot_rows) if hot is None else hot)
-    dealt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    left = rows.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), dealt).otherwise(F.lit(0))
-    ).drop("_hot")
-    right = unique.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                  .otherwise(F.array(F.lit(0)))),
-    ).drop("_hot")
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return rows.join(unique, list(keys), how)
 
 
-def not_in(rows: DataFrame, done: DataFrame, key: str, done_key: str | None = None,
-           spread_by: Sequence[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def not_in(rows: DataFrame, done: DataFrame, key: str, done_key: str | None = None) -> DataFrame:
     """Rows whose key does not occur in ``done``; rows without a key stay."""
     seen = done.select(F.col(f"`{done_key or key}`").alias(key)).filter(_whole([key])).distinct()
-    return spread_join(rows, seen, [key], "left_anti", spread_by or rows.columns, hot_rows)
+    return join_unique(rows, seen, [key], "left_anti")
 
 
 def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]):

@@ -54,22 +54,16 @@ def with_part_id(df: DataFrame, order: Sequence[str | Column],
 
 def page_slice(df: DataFrame, order: Sequence[Column], start: int = 0,
                count: int = catalogue.PAGE_SIZE) -> DataFrame:
-    """``count`` rows from position ``start`` of a total order.
+    """``count`` rows from position ``start`` of a total order, in that order.
 
-    Up to the service's result limit this is one top-k; further in, the rows
-    are numbered instead so that no task holds everything before the page.
+    An ordered top-k: each task sorts out its own first ``start + count`` rows and no
+    other row moves, so a page costs as much as its place is deep.
     """
-    if start + count <= catalogue.MAX_RESULTS_PER_TYPE:
-        return df.orderBy(*order).offset(start).limit(count)
-    place = F.col("_row")
-    return (
-        with_row_number(df, order, "_row")
-        .filter((place > start) & (place <= start + count)).drop("_row")
-    )
+    return df.orderBy(*order).offset(start).limit(count)
 
 
 def top_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
-                  spread_by: Sequence[str], limit: int = catalogue.MAX_RESULTS_PER_TYPE,
+                  spread_by: Sequence[str], limit: int,
                   salts: int = SALTS) -> DataFrame:
     """The first ``limit`` rows of every group.
 

@@ -11,12 +11,11 @@ from bibspark import catalogue
 from bibspark.functions import status as st
 from bibspark.operators.dedupe import keep_last
 from bibspark.operators.frames import enriched_layout
-from bibspark.operators.keyed import HOT_ROWS, not_in, spread_join
+from bibspark.operators.keyed import join_unique, not_in
 from bibspark.operators.works import work_columns, work_record
 
 
-def unprocessed(rows: DataFrame, processed: DataFrame, retry_statuses: Sequence[str] = (),
-                spread_by: Sequence[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def unprocessed(rows: DataFrame, processed: DataFrame, retry_statuses: Sequence[str] = ()) -> DataFrame:
     """Rows with a doi that an earlier output does not have yet.
 
     A failed lookup counts as processed unless its status starts with one of
@@ -25,8 +24,7 @@ def unprocessed(rows: DataFrame, processed: DataFrame, retry_statuses: Sequence[
     done = processed
     for prefix in retry_statuses:
         done = done.filter(~F.coalesce(F.col("oa_status").startswith(prefix), F.lit(False)))
-    return not_in(rows.filter(F.col("doi").isNotNull()), done, "doi",
-                  spread_by=spread_by, hot_rows=hot_rows)
+    return not_in(rows.filter(F.col("doi").isNotNull()), done, "doi")
 
 
 def latest_responses(responses: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -34,16 +32,14 @@ def latest_responses(responses: DataFrame, order: Sequence[str]) -> DataFrame:
     return keep_last(responses, ["doi"], order)
 
 
-def join_responses(rows: DataFrame, responses: DataFrame, spread_by: Sequence[str] | None = None,
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+def join_responses(rows: DataFrame, responses: DataFrame) -> DataFrame:
     """Every row with a doi, with the status and the body of its lookup.
 
     ``responses`` holds one row per doi; rows without one stay, as not found.
     """
     valid = rows.filter(F.col("doi").isNotNull())
     columns = [c for c in ("doi", "http_status", "error_kind", "error_message", "body")]
-    joined = spread_join(valid, responses.select(*columns), ["doi"], "left",
-                         spread_by or rows.columns, hot_rows)
+    joined = join_unique(valid, responses.select(*columns), ["doi"], "left")
     state = st.lookup_status(
         F.col("http_status"), F.col("error_kind"), F.col("error_message"), F.col("body")
     )
@@ -53,12 +49,10 @@ def join_responses(rows: DataFrame, responses: DataFrame, spread_by: Sequence[st
     )
 
 
-def enrich(rows: DataFrame, responses: DataFrame, spread_by: Sequence[str] | None = None,
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+def enrich(rows: DataFrame, responses: DataFrame) -> DataFrame:
     """Rows with a doi in the enriched layout: status and flat work columns."""
-    joined = join_responses(rows, responses, spread_by, hot_rows)
+    joined = join_responses(rows, responses)
     flat = joined.withColumn("_work", work_record(F.col("body"))).select(
         *rows.columns, "oa_status", *work_columns("_work")
     )
-    added = [*catalogue.WORK_FIELDS, *catalogue.WORK_LISTS]
-    return flat.select(*enriched_layout(rows.columns, added))
+    return flat.select(*enriched_layout(rows.columns, [*catalogue.WORK_FIELDS, *catalogue.WORK_LISTS]))

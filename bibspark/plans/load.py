@@ -7,16 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from bibspark.catalogue import TABLES
+from bibspark.operators.quality import any_null, key_violations
 from bibspark.sinks.tables import load_table
 
 
+def _whole(table):
+    return ~any_null([c for c in table.key if c not in table.nullable_key])
+
+
 def load_all(tables: dict[str, DataFrame], root: str, order: dict[str, Sequence[str]] | None = None) -> dict[str, str]:
     """Upsert every given table below ``root``; returns the snapshot paths.
 
-    Without an ``order`` a table is ranked by its non-key columns, which is
-    enough where it is unique by key already.
+    A table without an ``order`` must be unique by key, else the load is refused: which
+    of its rows is the last would be anyone's guess.
     """
     order = order or {}
+    for name, df in tables.items():
+        if name not in order and not key_violations(df, TABLES[name].key).filter(_whole(TABLES[name])).isEmpty():
+            raise ValueError(f"{name} repeats keys: name the columns that rank its rows")
     return {
         name: load_table(df, f"{root}/{name}", TABLES[name], order.get(name) or df.columns)
         for name, df in tables.items()

@@ -119,7 +119,9 @@ def normalize(enriched: DataFrame, order: Sequence[str]) -> dict[str, DataFrame]
     inside the list cells are appended where a table comes out of a list.
     """
     rows = typed_rows(enriched)
-    return {name: build(rows, order) for name, build in BUILDERS.items()}
+    tables = {name: build(rows, order) for name, build in BUILDERS.items()}
+    # search rows fit for loading: unique by the identifier too
+    return {**tables, "raw_scopus_search": raw_search(rows, order, unique_identifier=True)}
 
 
 def write_normalized(enriched: DataFrame, order: Sequence[str], root: str, staging: str | None = None,

@@ -13,7 +13,7 @@ from bibspark.operators.dedupe import keep_last
 from bibspark.operators.frames import union_by_name
 from bibspark.operators.ranking import page_slice, top_per_group
 from bibspark.sinks.files import overwrite_years
-from bibspark.sources.files import backfill_month, read_or_empty
+from bibspark.sources.files import backfill_month, read_stored
 
 
 def select_slice(records: DataFrame, affiliation: str, year: int, document_type: str) -> DataFrame:
@@ -46,8 +46,7 @@ def results_of_types(records: DataFrame, types: Sequence[str] = tuple(catalogue.
     return records.filter(F.col("subtypedescription").isin(list(types)))
 
 
-def capped_results(records: DataFrame, tie_break: Sequence[str] = ("dc_identifier",),
-                   limit: int = catalogue.MAX_RESULTS_PER_TYPE) -> DataFrame:
+def capped_results(records: DataFrame, limit: int, tie_break: Sequence[str] = ("dc_identifier",)) -> DataFrame:
     """At most ``limit`` results per year and document type, most cited first."""
     return top_per_group(
         records, ["publication_year", "subtypedescription"], by_citations(tie_break),
@@ -69,17 +68,22 @@ def merge_results(existing: DataFrame, new: DataFrame, order: Sequence[str],
     return keep_last(both, keys, ["_fetch", *order], carry_order=True).drop("_fetch")
 
 
-def refresh_years(spark: SparkSession, path: str, new: DataFrame, years: Sequence[int],
-                  order: Sequence[str]) -> None:
-    """Merge new results of ``years`` into the stored years and rewrite only those.
+def refresh_years(spark: SparkSession, path: str, new: DataFrame, order: Sequence[str],
+                  years: Sequence[int] | None = None) -> None:
+    """Merge new results into the stored years they belong to and rewrite only those.
 
-    Reading and rewriting are limited to the partitions of ``years``; the
-    rewrite replaces each partition after all of them have been computed. Years
-    are kept apart: a record that moved to another year stays in both.
+    The years are those that occur in ``new``; given ``years``, a new row outside them
+    is refused. Columns of either side are kept. The rewrite replaces each partition
+    after all of them have been computed. Years are kept apart: a record that moved to
+    another year stays in both.
     """
-    wanted = F.col("publication_year").isin(list(years))
-    stored = read_or_empty(spark, path, new.schema)
+    year = F.col("publication_year")
+    found = [r[0] for r in new.select(year).distinct().collect()]  # a calendar's worth of years
+    outside = [y for y in found if years is not None and y not in years]
+    if outside:
+        raise ValueError(f"new results of years that are not refreshed: {sorted(map(str, outside))}")
+    stored = backfill_month(read_stored(spark, path, new.schema))
     merged = merge_results(
-        stored.filter(wanted), new.filter(wanted), order, keys=["publication_year", "dc_identifier"]
+        stored.filter(year.isin(found)), new.filter(year.isNotNull()), order, keys=["publication_year", "dc_identifier"]
     )
     overwrite_years(merged, path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,18 +29,14 @@ def build_session(master: str | None = None, app: str = "bibspark", **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary
-    folder is taken and set for checkpoints.
+    A session on one machine may do without: a folder beside its warehouse serves.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current is None:
-        current = tempfile.mkdtemp(prefix="bibspark-")
-        context.setCheckpointDir(current)
-    return current.removeprefix("file:").rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-shared"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

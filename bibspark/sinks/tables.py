@@ -31,10 +31,11 @@ def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, str]]:
 
 def publish(df: DataFrame, root: str) -> str:
     """Write ``df`` as the next snapshot. Readers see it once it is complete,
-    and the one it was computed from stays as it is."""
+    and the one it was computed from stays as it is. Of two loads that take the
+    same number the later one fails instead of replacing the earlier."""
     done = _snapshots(df.sparkSession, root)
     path = f"{root}/snapshot={done[-1][0] + 1 if done else 1:06d}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return path
 
 
@@ -54,13 +55,19 @@ def prepare(source: DataFrame, table: Table, order: Sequence[str]) -> DataFrame:
     return keep_last(typed, table.key, ranked).select(*table.columns)
 
 
-def load_table(source: DataFrame, root: str, table: Table, order: Sequence[str]) -> str:
-    """Upsert ``source`` into the published table at ``root``."""
-    current = read_current(source.sparkSession, root, table)
-    return publish(upsert(current, prepare(source, table, order), table.key), root)
-
-
 def split_null_keys(source: DataFrame, table: Table) -> tuple[DataFrame, DataFrame]:
-    """Rows with a whole key, and rows that miss a part of it."""
-    broken = any_null(table.key)
+    """Rows with a whole key, and rows that miss a part of it they must have."""
+    broken = any_null([c for c in table.key if c not in table.nullable_key])
     return source.filter(~broken), source.filter(broken)
+
+
+def load_table(source: DataFrame, root: str, table: Table, order: Sequence[str], rejects: str | None = None) -> str:
+    """Upsert ``source`` into the published table at ``root``.
+
+    Rows without a whole key are not loaded; with ``rejects`` they are written there.
+    """
+    whole, broken = split_null_keys(source, table)
+    if rejects:
+        broken.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(rejects)
+    current = read_current(source.sparkSession, root, table)
+    return publish(upsert(current, prepare(whole, table, order), table.key), root)

@@ -21,17 +21,6 @@ class MissingColumns(ValueError):
     """An input lacks columns the caller requires."""
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan that has fewer tasks than there are cores.
-
-    Meant for heavy parsing after a few files that cannot be split, such as
-    delimited files with quoted newlines. A scan with enough tasks is returned
-    as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def scan_csv(spark: SparkSession, path: str | list[str], ddl: str,
              required: Sequence[str] = ()) -> DataFrame:
     """The columns declared in ``ddl`` from delimited files with a header.
@@ -80,19 +69,31 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
         return spark.createDataFrame([], schema)
 
 
+def read_stored(spark: SparkSession, path: str, otherwise: StructType | str) -> DataFrame:
+    """The Parquet table at ``path`` with the columns its files really have."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], otherwise)
+
+
 def processed_keys(spark: SparkSession, path: str, key: str = "doi") -> DataFrame:
     """Distinct keys of an earlier output; only that column is read."""
     return distinct_values(read_or_empty(spark, path, f"{key} string"), key)
 
 
 def backfill_month(df: DataFrame) -> DataFrame:
-    """Add ``publication_month`` to earlier results that lack it."""
-    if "publication_month" in df.columns or "prism_coverdate" not in df.columns:
+    """Fill ``publication_month`` of earlier results from the cover date where it is missing."""
+    if "prism_coverdate" not in df.columns:
         return df
-    kind = df.schema["prism_coverdate"].dataType
-    return df.withColumn(
-        "prism_coverdate", to_type(F.col("prism_coverdate"), kind, "date")
-    ).withColumn("publication_month", publication_month(F.col("prism_coverdate")))
+    day = to_type(F.col("prism_coverdate"), df.schema["prism_coverdate"].dataType, "date")
+    dated = df.withColumn("prism_coverdate", day)
+    month = publication_month(F.col("prism_coverdate"))
+    if "publication_month" in df.columns:
+        month = F.coalesce(F.col("publication_month"), month)
+    return dated.withColumn("publication_month", month)
 
 
 def load_search_results(spark: SparkSession, path: str) -> DataFrame:

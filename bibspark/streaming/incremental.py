@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
-from bibspark.operators.keyed import HOT_ROWS
 from bibspark.plans.enrich import enrich, unprocessed
 from bibspark.sources.files import read_or_empty
 
@@ -21,27 +20,27 @@ def enrich_stream(
     responses: DataFrame,
     target: str,
     checkpoint: str,
-    spread_by: Sequence[str],
     max_files_per_trigger: int | None = None,
     retry_statuses: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
 ) -> StreamingQuery:
     """Enrich what has landed since the last run and stop.
 
     Each micro-batch leaves out the keys that other batches have written, joins
-    the rest to ``responses`` and writes its own ``batch=`` folder of
-    ``target``. A batch that is run again after a failure overwrites that folder
-    with the same rows; nothing written before is rewritten.
+    the rest to ``responses`` and writes its own ``batch=`` folder below the
+    ``query=`` folder of its checkpoint. A batch that is run again after a failure
+    overwrites that folder with the same rows; nothing else is rewritten, so several
+    streams may share a target.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # the id that Spark keeps in the checkpoint, the same whenever it is resumed
+        query = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+        own = (F.col("query") == query) & (F.col("batch") == batch_id)
         done = read_or_empty(
-            batch.sparkSession, target, "doi string, oa_status string, batch bigint"
-        ).filter(F.col("batch") != batch_id)
-        rest = unprocessed(batch, done, retry_statuses, spread_by, hot_rows)
-        enrich(rest, responses, spread_by, hot_rows).write.mode("overwrite").parquet(
-            f"{target}/batch={batch_id}"
-        )
+            batch.sparkSession, target, "doi string, oa_status string, query string, batch bigint"
+        ).filter(~own)
+        rest = unprocessed(batch, done, retry_statuses)
+        enrich(rest, responses).write.mode("overwrite").parquet(f"{target}/query={query}/batch={batch_id}")
 
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
@@ -55,4 +54,4 @@ def enrich_stream(
 
 def enriched_so_far(spark: SparkSession, target: str) -> DataFrame:
     """All rows written by all batches."""
-    return spark.read.parquet(target).drop("batch")
+    return spark.read.parquet(target).drop("query", "batch")

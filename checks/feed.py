@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from bibspark.functions.identifiers import format_doi
 from bibspark.session import fresh_path
-from bibspark.sources.files import spread_scan
 
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
@@ -36,8 +35,7 @@ def landed(build):
         key = (spark.sparkContext.applicationId, sf, build.__name__)
         if key not in _LANDED:
             path = fresh_path(spark, build.__name__)
-            tasks = spark.sparkContext.defaultParallelism
-            build(spark, sf).repartition(tasks).write.parquet(path)
+            build(spark, sf).hint("rebalance").write.parquet(path)
             _LANDED[key] = path
         return spark.read.parquet(_LANDED[key])
 
@@ -45,8 +43,7 @@ def landed(build):
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items, dealt to all cores where the file comes in one piece."""
-    return spread_scan(table(spark, sf, "lineitem"))
+    return table(spark, sf, "lineitem")
 
 
 # The shape of a raw DOI: four that are valid, two that are not, one missing.

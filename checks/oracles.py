@@ -286,6 +286,15 @@ ORACLES: dict[str, str] = {
         select {RAW_SEARCH} from (
           select *, row_number() over (partition by dc_identifier
             order by affiliation = 'F' desc, ingest_seq desc) as r from search) where r = 1""",
+    "parts_rewritten": """select c_custkey, c_mktsegment,
+        (row_number() over (order by c_custkey) - 1) // 100 + 1 as part_id
+        from customer where c_mktsegment = 'BUILDING'""",
+    "load_null_keys": f"""with {SEARCH}, keyed as (
+          select *, case when ingest_seq % 5 <> 0 then dc_identifier end as id from search)
+        select 'rejected' as place, prism_url from keyed where id is null
+        union all
+        select 'loaded' as place, prism_url from keyed where id is not null
+        qualify row_number() over (partition by id order by ingest_seq desc) = 1""",
     "flatten_struct": """select event_id, user_id as "rec:head.@id", event_type as "rec:head.dc:kind",
         value as "rec:head.geo.value-x", props as "rec:head.geo.props" from events""",
     "clean_columns": """select event_id, user_id as rec_head_id, event_type as rec_head_dc_kind,
@@ -345,12 +354,6 @@ ORACLES: dict[str, str] = {
           oa_institution_country_code
         from authorship_institutions_t join authors_t using (oa_author_id)
         join institutions_t using (oa_institution_id)""",
-    "fetch_map_in_pandas": f"""with {SEARCH}, known as (
-          select distinct doi, (ingest_seq // 2) as number from search where doi is not null)
-        select doi, cast(case when number % 3 <> 0 then 200 else 404 end as integer) as http_status,
-          case when number % 3 <> 0 then '{{"id": "W' || number || '"}}' end as body,
-          case when number % 3 <> 0 then 'Success' else 'DOI Not Found (API 404)' end as oa_status
-        from known""",
     "parse_json_cell": f"""select {ORDER},
         case when l_discount in (0.08, 0.09, 0.1) then 0 when l_linestatus = 'F' then 5 else 4 end
           as n_elements,
@@ -438,10 +441,17 @@ ORACLES: dict[str, str] = {
           case when r.oa_status = 'Success' then 'W' || l_orderkey end as oa_id,
           case when r.oa_status = 'Success' then cast(l_quantity as integer) end as oa_cited_by_count
         from taken t left join latest r on r.doi = t.doi""",
+    "stream_two_sources": f"""with {SEARCH}, {LATEST}, taken as (
+          select ingest_seq, doi from search where affiliation <> 'F' and doi is not null
+          union all
+          select ingest_seq, doi from search where affiliation = 'F' and doi is not null
+            and doi not in (select doi from search where affiliation <> 'F' and doi is not null))
+        select ingest_seq, t.doi, coalesce(r.oa_status, 'DOI Not Found (pyalex)') as oa_status
+        from taken t left join latest r on r.doi = t.doi""",
     "incremental_refresh": f"""with {SEARCH}, rows as (
           select ingest_seq, dc_identifier, citedby_count, publication_year, affiliation = 'F' as fresh
-          from search where affiliation <> 'F' or publication_year in (1997, 1998))
-        select ingest_seq, dc_identifier, citedby_count, publication_year from rows
+          from search) select ingest_seq, dc_identifier, citedby_count,
+          case when fresh then 'F' end as affiliation, publication_year from rows
         qualify row_number() over (partition by publication_year, dc_identifier
           order by fresh desc, ingest_seq desc) = 1""",
     "quarantine_rejects": f"""select {ORDER},

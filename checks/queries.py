@@ -19,7 +19,7 @@ from bibspark.session import fresh_path
 from bibspark.sinks import files as sink
 from bibspark.sinks import tables as stored
 from bibspark.sources import files as source
-from bibspark.sources import lookup, search_pages
+from bibspark.sources import search_pages
 from bibspark.streaming import incremental
 from checks import feed
 from checks.feed import LINE_ORDER, table
@@ -250,6 +250,43 @@ def load_tables(spark, sf):
     return shown(stored.read_current(spark, f"{root}/{spec.name}", spec))
 
 
+@query
+def parts_rewritten(spark, sf):
+    """Parts of all customers, then of the few of one segment to the same place."""
+    path = fresh_path(spark, "rewritten")
+    rows = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    sink.write_parts(rows, path, ["c_custkey"], rows_per_part=100)
+    sink.write_parts(rows.filter("c_mktsegment = 'BUILDING'"), path, ["c_custkey"], rows_per_part=100)
+    return spark.read.parquet(path).select("c_custkey", "c_mktsegment", F.col("part_id").cast("bigint").alias("part_id"))
+
+
+@query
+def load_null_keys(spark, sf):
+    """Rows without their key are set aside by a load, not merged."""
+    spec = TABLES["raw_scopus_search"]
+    root, rejects = fresh_path(spark, "loaded"), fresh_path(spark, "rejects")
+    rows = search_rows(spark, sf).withColumn("dc_identifier", F.expr("if(ingest_seq % 5 = 0, null, dc_identifier)"))
+    stored.load_table(rows, root, spec, ["ingest_seq"], rejects)
+    loaded = stored.read_current(spark, root, spec).select(F.lit("loaded").alias("place"), "prism_url")
+    return loaded.unionByName(spark.read.parquet(rejects).select(F.lit("rejected").alias("place"), "prism_url"))
+
+
+@query
+def stream_two_sources(spark, sf):
+    """Two landing folders with their own checkpoints into one target, the second run twice."""
+    target = fresh_path(spark, "enriched")
+    rows = search_rows(spark, sf).select("ingest_seq", "prism_doi", "doi", "affiliation")
+    kept = fresh_path(spark, "responses")
+    latest_responses(spark, sf).write.parquet(kept)
+    for part in ("affiliation <> 'F'", "affiliation = 'F'"):
+        landing, log = fresh_path(spark, "landing"), fresh_path(spark, "log")
+        rows.filter(part).write.parquet(landing)
+        for _ in range(2):
+            incremental.enrich_stream(
+                spark, landing, rows.schema, spark.read.parquet(kept), target, log).awaitTermination()
+    return incremental.enriched_so_far(spark, target).select("ingest_seq", "doi", "oa_status")
+
+
 # --- projections and filters -----------------------------------------------
 
 
@@ -349,8 +386,8 @@ def search_slice(spark, sf):
 def array_compact(spark, sf):
     items = table(spark, sf, "orders").selectExpr("o_orderkey", """
       case o_orderstatus
-        when 'F' then concat('["', o_orderpriority, '", null, "", "', o_custkey, '"]')
-        when 'O' then concat('{"a": "', o_orderpriority, '", "b": null, "c": ""}')
+        when 'F' then concat('["', o_orderpriority, '", null, "", 0, false, {}, "', o_custkey, '"]')
+        when 'O' then concat('{"a": "', o_orderpriority, '", "b": null, "c": "", "d": 0.0, "e": []}')
         else o_orderpriority end as item""")
     kept = items.withColumn("kept", cells.compact_item(F.col("item")))
     return kept.select("o_orderkey", F.size("kept").alias("n_kept"),
@@ -364,13 +401,13 @@ def array_compact(spark, sf):
 def resume_anti_join(spark, sf):
     rows = search_rows(spark, sf).select("ingest_seq", "doi", "affiliation")
     done = rows.filter("affiliation = 'F'").select("doi")
-    return enriching.unprocessed(rows, done, spread_by=["ingest_seq"]).select("ingest_seq", "doi")
+    return enriching.unprocessed(rows, done).select("ingest_seq", "doi")
 
 
 @query
 def enrich_left_join(spark, sf):
     rows = search_rows(spark, sf).select("ingest_seq", "prism_doi", "doi")
-    full = enriching.enrich(rows, latest_responses(spark, sf), spread_by=["ingest_seq"])
+    full = enriching.enrich(rows, latest_responses(spark, sf))
     return shown(full.select(
         "ingest_seq", "doi", "oa_status", "oa_id", "oa_title", "oa_cited_by_count", "oa_fwci",
         "oa_publication_date", "oa_biblio_volume",
@@ -390,7 +427,7 @@ def exclude_existing(spark, sf):
     new = search_pages.search_records(feed.search_pages(spark, sf))
     existing = table(spark, sf, "events").filter("value > 250").selectExpr(
         "'EID:' || user_id || '-' || event_type as dc_identifier")
-    left = keyed.not_in(new, existing, "dc_identifier", spread_by=["page_no", "entry_pos"])
+    left = keyed.not_in(new, existing, "dc_identifier")
     return left.select("page_no", "entry_pos", "dc_identifier")
 
 
@@ -403,29 +440,12 @@ def star_join_read(spark, sf):
         normalize.BUILDERS[name](rows, LINE_ORDER).write.parquet(path)
         stored_as[name] = spark.read.parquet(path)
     links = stored_as["authorship_institutions"]
-    named = keyed.spread_join(
-        links, stored_as["authors"], ["oa_author_id"], "inner", ["doi", "oa_institution_id"])
-    full = keyed.spread_join(
-        named, stored_as["institutions"], ["oa_institution_id"], "inner", ["doi", "oa_author_id"],
-        hot=keyed.hot_keys(links, ["oa_institution_id"]))
+    named = keyed.join_unique(links, stored_as["authors"], ["oa_author_id"], "inner")
+    full = keyed.join_unique(named, stored_as["institutions"], ["oa_institution_id"], "inner")
     return full.select("doi", "oa_author_id", "oa_author_name", "oa_institution_id",
                        "oa_institution_name", "oa_institution_country_code")
 
 
-@query
-def fetch_map_in_pandas(spark, sf):
-    def fetch(keys):
-        for key in keys:
-            number = int(key.rsplit(".", 1)[1])
-            known = number % 3 != 0
-            yield {"doi": key, "http_status": 200 if known else 404,
-                   "body": '{"id": "W%d"}' % number if known else None}
-
-    found = lookup.fetch_responses(search_rows(spark, sf), fetch, tasks=spark.sparkContext.defaultParallelism)
-    state = status.lookup_status(F.col("http_status"), F.col("error_kind"), F.col("error_message"), F.col("body"))
-    return found.select("doi", "http_status", "body", state.alias("oa_status"))
-
-
 # --- nested normalization --------------------------------------------------
 
 
@@ -568,7 +588,7 @@ def page_slice(spark, sf):
 
 @query
 def page_slice_deep(spark, sf):
-    """A page beyond the service's result limit."""
+    """A page far inside the order."""
     return ranking.page_slice(
         table(spark, sf, "lineitem").select(*LINE_ORDER), [F.col(c) for c in LINE_ORDER], start=5500)
 
@@ -577,7 +597,7 @@ def page_slice_deep(spark, sf):
 def top_n_per_type(spark, sf):
     """The most cited thousand of every year and document type would be all of a
     small table, so ten are taken here."""
-    best = search.capped_results(_search_records(spark, sf), ["dc_identifier", "ingest_seq"], limit=10)
+    best = search.capped_results(_search_records(spark, sf), 10, ["dc_identifier", "ingest_seq"])
     return best.select("publication_year", "subtypedescription", "ingest_seq", "citedby_count")
 
 
@@ -675,7 +695,7 @@ def stream_incremental(spark, sf):
     for drop in ("affiliation <> 'F'", "affiliation = 'F'"):
         rows.filter(drop).write.mode("append").parquet(landing)
         incremental.enrich_stream(
-            spark, landing, rows.schema, spark.read.parquet(kept), target, log, ["ingest_seq"],
+            spark, landing, rows.schema, spark.read.parquet(kept), target, log,
         ).awaitTermination()
     return incremental.enriched_so_far(spark, target).select(
         "ingest_seq", "doi", "oa_status", "oa_id", "oa_cited_by_count")
@@ -683,14 +703,15 @@ def stream_incremental(spark, sf):
 
 @query
 def incremental_refresh(spark, sf):
-    """Stored years, then two of them refreshed by newer results."""
+    """Stored years without their month, then all of them refreshed by newer results with more columns."""
     path = fresh_path(spark, "refreshed")
     existing, new = _existing_and_new(spark, sf)
     sink.overwrite_years(
         search.merge_results(existing.limit(0), existing, ["ingest_seq"], ["publication_year", "dc_identifier"]),
         path)
-    search.refresh_years(spark, path, new.drop("affiliation"), [1997, 1998], ["ingest_seq"])
-    return spark.read.parquet(path).select("ingest_seq", "dc_identifier", "citedby_count", "publication_year")
+    search.refresh_years(spark, path, new, ["ingest_seq"])
+    return spark.read.option("mergeSchema", "true").parquet(path).select(
+        "ingest_seq", "dc_identifier", "citedby_count", "affiliation", "publication_year")
 
 
 # --- data quality ----------------------------------------------------------

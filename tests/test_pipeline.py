@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bibspark.catalogue import TABLES
+from bibspark.functions import cells, status
 from bibspark.functions.identifiers import format_doi
 from bibspark.operators import works
 from bibspark.operators.quality import key_violations
@@ -59,21 +60,74 @@ def test_parts_are_full_and_verified(spark, tmp_path):
     assert tuple(sink.verify_parts(frame, sink.part_counts(spark, path)).first()) == (23, 23, 5, True)
 
 
-def test_empty_table_is_skipped(spark, tmp_path):
-    path = tmp_path / "empty"
-    assert sink.write_table_parts(spark.range(0), str(path), ["id", "gone"], ["id"]) == ["gone"]
-    assert not path.exists()
+def test_second_write_replaces_the_first(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    for rows in (23, 7, 0):
+        assert sink.write_table_parts(spark.range(rows), path, ["id", "gone"], ["id"], rows_per_part=5) == ["gone"]
+        counts = sink.part_counts(spark, path)
+        assert sum(r["n_rows"] for r in counts.collect()) == rows
+        assert tuple(sink.verify_parts(spark.range(rows), counts).select("n_source").first()) == (rows,)
 
 
-def test_years_outside_the_refresh_stay(spark, tmp_path):
+def test_refresh_keeps_columns_and_years(spark, tmp_path):
     path = str(tmp_path / "years")
-    ddl = "dc_identifier string, n int, publication_year int"
-    sink.overwrite_years(spark.createDataFrame([("a", 1, 2020), ("b", 1, 2021), ("c", 1, 2021)], ddl), path)
-    new = spark.createDataFrame([("b", 2, 2021), ("d", 2, 2021), ("e", 2, 2022)], ddl)
+    old = "dc_identifier string, n int, extra string, prism_coverdate date, publication_year int"
+    sink.overwrite_years(spark.createDataFrame([("a", 1, "x", None, 2020), ("b", 1, "y", None, 2021)], old).withColumn(
+        "prism_coverdate", F.expr("date'2020-03-01'")), path)
+    new = spark.createDataFrame([("b", 2, 7, 2021), ("e", 2, 8, 2022)],
+                                "dc_identifier string, n int, more int, publication_year int")
+    with pytest.raises(ValueError, match="2022"):
+        search.refresh_years(spark, path, new, ["n"], years=[2021])
     for _ in range(2):  # a second run changes nothing
-        search.refresh_years(spark, path, new, [2021], ["n"])
-        assert as_set(spark.read.parquet(path).selectExpr("dc_identifier", "n", "publication_year")) == [
-            ("a", 1, 2020), ("b", 2, 2021), ("c", 1, 2021), ("d", 2, 2021)]
+        search.refresh_years(spark, path, new, ["n"])
+        got = source.read_stored(spark, path, old).selectExpr("dc_identifier", "n", "extra", "more", "publication_year")
+        assert as_set(got) == [("a", 1, "x", None, 2020), ("b", 2, None, 7, 2021), ("e", 2, None, 8, 2022)]
+
+
+def test_month_is_filled_on_load(spark, tmp_path):
+    path = str(tmp_path / "earlier")
+    spark.sql("select 's1' as dc_identifier, date'2020-03-01' as prism_coverdate").write.parquet(path)
+    assert source.load_search_results(spark, path).first()["publication_month"] == 3
+
+
+def test_rows_without_key_are_set_aside(spark, tmp_path):
+    spec = TABLES["raw_scopus_search"]
+    rows = spark.createDataFrame([(None, "a", 1), (None, "b", 2), ("k", "c", 3), ("k", "d", 4)],
+                                 "dc_identifier string, prism_url string, seq int")
+    stored.load_table(rows, str(tmp_path / "t"), spec, ["seq"], str(tmp_path / "rejects"))
+    assert as_set(stored.read_current(spark, str(tmp_path / "t"), spec).select("prism_url")) == [("d",)]
+    assert as_set(spark.read.parquet(str(tmp_path / "rejects")).select("prism_url")) == [("a",), ("b",)]
+    with pytest.raises(ValueError, match="repeats keys"):
+        load.load_all({spec.name: rows}, str(tmp_path / "u"))
+
+
+def test_normalized_rows_load_with_the_newest_record(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(1, "https://doi.org/10.1/a", "S1", 2020, 9), (2, "https://doi.org/10.1/b", "S1", 2021, 1)],
+        "seq int, doi string, dc_identifier string, publication_year int, citedby_count int")
+    for name in ("oa_authorships", "oa_grants", "oa_counts_by_year"):
+        rows = rows.withColumn(name, F.lit("[]"))
+    load.load_all(normalize.normalize(rows, ["seq"]), str(tmp_path))
+    spec = TABLES["raw_scopus_search"]
+    got = stored.read_current(spark, f"{tmp_path}/{spec.name}", spec)
+    assert [r["publication_year"] for r in got.collect()] == [2021]
+
+
+def test_broken_bodies_are_no_success(spark):
+    bodies = {'{"id": "W1", "title": "x': "Processing", "[1]": "DOI Not", "{}": "DOI Not", "": "DOI Not", None: "DOI Not",
+              '{"id": 1}': "Success", "oops": "Processing"}
+    frame = spark.createDataFrame([(b,) for b in bodies], "body string")
+    none = F.lit(None).cast("string")
+    got = frame.select("body", status.lookup_status(F.lit(200), none, none, F.col("body")).alias("s")).collect()
+    assert all(r["s"].startswith(bodies[r["body"]]) for r in got)
+
+
+def test_compact_item_keeps_what_counts(spark):
+    items = {'["a", null, "", 0, false, true, 2, [], {}]': ["a", "true", "2"], '{"x": 0, "y": "z"}': ["z"],
+             "0": [], "false": [], "plain": ["plain"], None: [], "": []}
+    frame = spark.createDataFrame([(i,) for i in items], "item string")
+    got = frame.select("item", cells.compact_item(F.col("item")).alias("kept")).collect()
+    assert {r["item"]: r["kept"] for r in got} == items
 
 
 # --- search pages ----------------------------------------------------------
@@ -154,10 +208,9 @@ def test_enrichment_keeps_misses_and_repeats(spark):
     responses = spark.createDataFrame(RESPONSES, RESPONSE_DDL)
     want = [(1, "Success", "W1"), (2, "Success", "W1"), (3, "DOI Not Found (API 404)", None),
             (6, "DOI Not Found (pyalex)", None)]
-    for hot_rows in (2, 1_000_000):
-        full = enrich.enrich(prepared(spark), responses, ["seq"], hot_rows=hot_rows)
-        assert full.columns[:5] == ["seq", "prism_doi", "doi", "oa_status", "oa_id"]
-        assert as_set(full.select("seq", "oa_status", "oa_id")) == want
+    full = enrich.enrich(prepared(spark), responses)
+    assert full.columns[:5] == ["seq", "prism_doi", "doi", "oa_status", "oa_id"]
+    assert as_set(full.select("seq", "oa_status", "oa_id")) == want
 
 
 def test_failed_lookups_count_as_processed_unless_retried(spark):
@@ -175,7 +228,7 @@ def test_stream_resumes_and_adds_nothing_twice(spark, tmp_path):
 
     def run(rows):
         rows.write.mode("append").parquet(landing)
-        incremental.enrich_stream(spark, landing, rows.schema, responses, target, log, ["seq"]).awaitTermination()
+        incremental.enrich_stream(spark, landing, rows.schema, responses, target, log).awaitTermination()
         return as_set(incremental.enriched_so_far(spark, target).select("seq", "oa_status"))
 
     first = run(prepared(spark, SAMPLE[:3]))
@@ -250,7 +303,22 @@ def test_load_twice_is_load_once(spark, tmp_path):
 
 def test_entry_is_registered_whole():
     from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
+    from checks.oracles import ORACLES
+    from checks.queries import QUERIES
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
+
+
+def test_two_streams_share_a_target(spark, tmp_path):
+    target = str(tmp_path / "out")
+    responses = spark.createDataFrame(RESPONSES, RESPONSE_DDL)
+    for name, rows in (("a", SAMPLE[:2]), ("b", SAMPLE[2:]), ("b", [])):
+        frame = prepared(spark, rows or SAMPLE[:1])
+        if rows:
+            frame.write.parquet(str(tmp_path / name))
+        incremental.enrich_stream(spark, str(tmp_path / name), frame.schema, responses, target,
+                                  str(tmp_path / f"log-{name}")).awaitTermination()
+    assert as_set(incremental.enriched_so_far(spark, target).select("seq")) == [(1,), (2,), (3,), (6,)]
 
 
 def test_stored_rows_are_read_by_field(spark, tmp_path):

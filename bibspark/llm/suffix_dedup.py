@@ -131,12 +131,14 @@ def _suffixes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _meet(key: Any, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows: list[tuple] = []
+    """The seeds dealt to one bucket, each by itself."""
+    by_seed: dict[int, list[tuple]] = {}
     for batch in parts:
-        rows += zip(*(batch.column(n).to_pylist() for n in _SUFFIX.names), strict=True)
-    found, _ = neighbours(rows)
-    if found:
-        yield _batch(found)
+        for row in zip(*(batch.column(n).to_pylist() for n in _SUFFIX.names), strict=True):
+            by_seed.setdefault(row[0], []).append(row)
+    found = [r for rows in by_seed.values() for r in neighbours(rows)[0]]
+    for at in range(0, len(found), 20_000):
+        yield _batch(found[at : at + 20_000])
 
 
 def _cut(documents: list[bytes], marks: list[list[int]]):
@@ -169,7 +171,8 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     local = written(texts.select("doc_id", KEY, "text", "marks").mapInArrow(_suffixes, _SUFFIX_DDL), "suffixes")
     rest = local.filter("low is null")
     again = rest.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
-    across = rest.join(again, "seed").groupBy("seed").applyInArrow(_meet, _SUFFIX_DDL)
+    buckets = 16 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    across = rest.join(again, "seed").groupBy(F.pmod("seed", F.lit(buckets)).alias("bucket")).applyInArrow(_meet, _SUFFIX_DDL)
     ranges = local.filter("low is not null").unionByName(across).groupBy("doc_id", KEY).agg(
         F.flatten(F.collect_set(F.array("low", "high"))).alias("marks"))
     return cut_texts(docs, written(ranges, "ranges"), _cut, "n_words", "n_removed")

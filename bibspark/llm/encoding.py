@@ -9,19 +9,60 @@ or after. So the ids left and right of such a place do not depend on each other.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
-#: White space beyond blank, tab and line ends, and signs near it. Texts that have any are encoded whole.
+#: White space beyond blank, tab and line ends, and signs near it.
 _RARE_SPACE = "".join(map(chr, [
     0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F,
     0x205F, 0x3000, 0xFEFF,
 ]))
+_SPACE = "".join(map(chr, [
+    0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F,
+    0x205F, 0x3000, 0xFEFF,
+]))
 _UNSURE = re.compile(f"[ \t\n\r] |[{_RARE_SPACE}]")
 _SPACE = re.compile(rf"[\s{_RARE_SPACE}]")
-_KNOWN = 300_000  # pieces whose ids a worker remembers; others are encoded again
 _SEGMENT = 1 << 20  # characters taken at a time
 
+#: Fixed value: the split into words of the byte-level files.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _as_ranks(path: str):
+    """The file's vocabulary as merge ranks for a faster library, and its added words.
+
+    Both libraries merge the pair of the lowest rank first, so they agree where the file
+    splits words as above, lists its merges in the order of their ids and has nothing
+    else that could change ids. Where any of this is not so, there are no ranks.
+    """
+    import json
+
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    added = [t["content"] for t in spec.get("added_tokens") or []]
+    plain = (model.get("type") == "BPE" and split.get("type") == "ByteLevel" and not split.get("add_prefix_space")
+             and split.get("use_regex", True) and not spec.get("normalizer") and not spec.get("post_processor")
+             and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")))
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+    ids = [model["vocab"].get("".join(m)) for m in merges]
+    if not plain or None in ids or ids != sorted(set(ids)) or (ids and ids[0] < 256):
+        return None, added
+    # the byte-level alphabet: printable bytes stand for themselves, the others follow from 256
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    byte = {chr(c): b for b, c in [*((b, b) for b in shown), *((b, 256 + k) for k, b in enumerate(hidden))]}
+    tokens = {t: i for t, i in model["vocab"].items() if t not in added}
+    if not all(c in byte for t in tokens for c in t):
+        return None, added
+    ranks = {bytes(byte[c] for c in t): i for t, i in tokens.items()}
+    return tiktoken.Encoding("file", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}), added
+
+
 _LOADED: dict[str, "Encoder"] = {}
 
 
@@ -43,43 +84,15 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.dtype = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: tuple[dict, dict] = {}, {}  # by piece: at the start of a text, and after a blank
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, packed. Pieces between blanks are encoded once and remembered."""
-        out: list[bytes] = [b""] * len(texts)
-        split, unsure, missing = [], [], ({}, {})
-        for i, text in enumerate(texts):
-            if _UNSURE.search(text):
-                unsure.append(i)
-                continue
-            parts = text.split(" ")
-            split.append((i, parts))
-            if parts[0] not in self.known[0]:
-                missing[0][parts[0]] = None
-            known = self.known[1]
-            missing[1].update((p, None) for p in parts[1:] if p not in known)
-        got = ({}, {})
-        for k, blank in ((0, ""), (1, " ")):
-            new = list(missing[k])
-            got[k].update(zip(new, self._encode([blank + p for p in new]), strict=True))
-            if len(self.known[k]) < _KNOWN:
-                self.known[k].update(got[k])
-        for i, parts in split:
-            first = self.known[0].get(parts[0])
-            head = got[0][parts[0]] if first is None else first
-            try:
-                out[i] = head + b"".join(map(self.known[1].__getitem__, parts[1:]))
-            except KeyError:
-                known, new = self.known[1], got[1]
-                out[i] = head + b"".join([known[p] if p in known else new[p] for p in parts[1:]])
-        for i in unsure:
-            out[i] = b"".join(self.spliced(texts[i], _SEGMENT, 256))
-        return out
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.ranks, self.added = _as_ranks(path)
+
+    def _packed(self, text: str) -> bytes:
+        if self.ranks is None or any(word in text for word in self.added):
+            ids = self.library.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.ranks.encode_ordinary(text)
+        return array(self.code, ids).tobytes()
 
     def ids(self, text: str) -> bytes:
         """The ids of one text; a long one is taken in segments cut before a safe blank."""
@@ -92,9 +105,9 @@ class Encoder:
                 to = at + _SEGMENT
                 while to < len(text) and not safe(text, to):
                     to += 1
-            out += self.batch([text[at:to]])
+            out.append(self._packed(text[at:to]))
             at = to
-        return b"".join([*out, *self.batch([text[at:]])])
+        return b"".join([*out, self._packed(text[at:])])
 
     def spliced(self, text: str, chunk: int, overlap: int):
         """Packed ids, chunk by chunk: overlapping chunks are encoded with offsets and

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from bibspark.llm.encoding import encoder
 from bibspark.llm.rows import Sink, texts, written
-from bibspark.llm.token_counts import small_groups
 
 LENGTH = 2048
 END = 1
@@ -154,12 +153,8 @@ def _tokenize(path: str, end: int):
         last = np.array([end], own.dtype).tobytes()
         for batch in parts:
             ids, sources = batch.column("doc_id").to_pylist(), batch.column("source").to_pylist()
-            values = texts(batch).to_pylist()
-            for group in small_groups(values, 1 << 20):
-                for i, packed in zip(group, own.batch([values[i] for i in group]), strict=True):
-                    values[i] = packed + last
-            for i, value in enumerate(values):
-                packed = own.ids(value) + last if isinstance(value, str) else value
+            for i, text in enumerate(texts(batch).to_pylist()):
+                packed = own.ids(text) + last
                 n = len(packed) // own.dtype.itemsize
                 out.add(ids[i], sources[i], block, place.get(sources[i], 0), n, packed)
                 place[sources[i]] = place.get(sources[i], 0) + n

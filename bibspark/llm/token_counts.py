@@ -17,32 +17,15 @@ OVERLAP = 256
 LIMIT = 1024
 
 
-def small_groups(values: list[str], chunk: int, size: int = 1 << 20) -> Iterator[list[int]]:
-    """Indexes of the texts up to ``chunk`` characters, about ``size`` characters at a time."""
-    group, total = [], 0
-    for i, text in enumerate(values):
-        if len(text) <= chunk:
-            group.append(i)
-            total += len(text)
-        if total >= size:
-            yield group
-            group, total = [], 0
-    if group:
-        yield group
-
-
 def _count(path: str, chunk: int, overlap: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in parts:
             values = texts(batch).to_pylist()
             n = np.zeros(len(values), np.int64)
-            for group in small_groups(values, chunk):
-                for i, ids in zip(group, own.batch([values[i] for i in group]), strict=True):
-                    n[i] = len(ids)
             for i, text in enumerate(values):
-                if len(text) > chunk:
-                    n[i] = sum(map(len, own.spliced(text, chunk, overlap)))
+                packed = [own.ids(text)] if len(text) <= chunk else own.spliced(text, chunk, overlap)
+                n[i] = sum(map(len, packed))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_bytes"), pa.array(n // own.dtype.itemsize)],
                 names=["doc_id", "n_bytes", "n_tokens"])

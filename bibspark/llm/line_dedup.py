@@ -24,7 +24,8 @@ def segments(line: Column, size: Column, threshold: int) -> Column:
 
     For a partner ``less`` characters shorter, its i-th of n segments, starting at p,
     can lie where both the edits before it (i at most) and those behind it (n - 1 - i
-    at most) suffice for the shift.
+    at most) suffice for the shift. The length of the shorter line is hashed with the
+    segment, so lines whose lengths are too far apart never meet.
     """
     n = threshold + 1
     found = []
@@ -36,7 +37,7 @@ def segments(line: Column, size: Column, threshold: int) -> Column:
             start = base * i + F.greatest(longer - (n - i), F.lit(0)) + 1
             low, high = max(-i, less - (n - 1 - i)), min(i, less + (n - 1 - i))
             for shift in range(low, high + 1):
-                found.append(F.xxhash64(F.lit(i), F.substring(line, start + shift, own)))
+                found.append(F.xxhash64(F.lit(i), size - less, F.substring(line, start + shift, own)))
     return F.array_distinct(F.array(*found))
 
 

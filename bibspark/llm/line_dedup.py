@@ -1,9 +1,9 @@
 """Line dedup: a segment-partition edit join over the distinct lines, in built-in functions only.
 
 A line within THRESHOLD edits of another leaves one of THRESHOLD + 1 even segments of
-the shorter one untouched. Each line therefore sends the substrings where such a
-segment of a line as long or shorter can lie, its own segments among them; lines that
-meet on a substring are compared by banded edit distance.
+the shorter one untouched. The segments of all lines are the index; each line probes it
+with the substrings where such a segment of a line as long or shorter can lie. Lines
+that meet on a substring are compared by banded edit distance.
 """
 
 from __future__ import annotations
@@ -19,26 +19,29 @@ SHORTEST = 24  # characters; shorter lines are compared for equality only
 _SPACE = " \t\r\x0b\x0c"
 
 
-def segments(line: Column, size: Column, threshold: int) -> Column:
-    """The distinct substrings by which a line finds lines as long or shorter.
+def segments(units: Column, size: Column, threshold: int) -> tuple[list[Column], list[Column]]:
+    """A line's own segments, and the other substrings by which it finds lines as long or shorter.
 
-    For a partner ``less`` characters shorter, its i-th of n segments, starting at p,
-    can lie where both the edits before it (i at most) and those behind it (n - 1 - i
-    at most) suffice for the shift. The length of the shorter line is hashed with the
-    segment, so lines whose lengths are too far apart never meet.
+    ``units`` are its characters in four bytes each, so a substring is cut without
+    walking the text. For a partner ``less`` characters shorter, its i-th of n segments,
+    starting at p, can lie where both the edits before it (i at most) and those behind it
+    (n - 1 - i at most) suffice for the shift. The length of the shorter line is hashed
+    with the segment, so lines whose lengths are too far apart never meet.
     """
     n = threshold + 1
-    found = []
+    own, others = [], []
     for less in range(threshold + 1):
         base, longer = F.floor((size - less) / n).cast("int"), F.pmod(size - less, F.lit(n)).cast("int")
         for i in range(n):
             # the last segments are one character longer
-            own = base + F.when(longer >= n - i, 1).otherwise(0)
-            start = base * i + F.greatest(longer - (n - i), F.lit(0)) + 1
+            length = base + F.when(longer >= n - i, 1).otherwise(0)
+            start = base * i + F.greatest(longer - (n - i), F.lit(0))
             low, high = max(-i, less - (n - 1 - i)), min(i, less + (n - 1 - i))
             for shift in range(low, high + 1):
-                found.append(F.xxhash64(F.lit(i), size - less, F.substring(line, start + shift, own)))
-    return F.array_distinct(F.array(*found))
+                piece = F.substring(units, (start + shift) * 4 + 1, length * 4)
+                found = others if less or shift else own
+                found.append(F.xxhash64(F.lit(i), size - less, piece))
+    return own, others
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
@@ -52,9 +55,15 @@ def _occurrences(docs: DataFrame) -> DataFrame:
 def _near(lines: DataFrame, threshold: int, shortest: int) -> DataFrame:
     """(a, b) of the distinct lines that an earlier one is within the threshold of."""
     sized = lines.withColumn("size", F.length("line")).filter(F.col("size") >= shortest)
-    sent = sized.select("a", "b", F.explode(segments(F.col("line"), F.col("size"), threshold)).alias("segment"))
-    shared = sent.groupBy("segment").agg(F.min("a").alias("low"), F.max("a").alias("high")).filter("low <> high")
-    met = written(sent.join(shared.select("segment"), "segment"), "segments")
+    units = sized.select("a", "b", "size", F.encode("line", "UTF-32").alias("units"))
+    own, others = segments(F.col("units"), F.col("size"), threshold)
+    index = units.select("a", "b", F.explode(F.array(*own)).alias("segment"))
+    probes = units.select("a", "b", F.explode(F.array(*others)).alias("segment"))
+    held = index.groupBy("segment").agg(F.min("a").alias("low"), F.max("a").alias("high"))
+    hits = written(
+        probes.join(held, "segment").filter("low <> high or low <> a").select("segment", "a", "b"), "hits")
+    shared = held.filter("low <> high").select("segment").union(hits.select("segment")).distinct()
+    met = written(hits.union(index.join(shared, "segment").select("segment", "a", "b")), "segments")
     texts = written(sized.join(met.select("a", "b").distinct(), ["a", "b"], "left_semi"), "near_lines")
     whole = met.join(texts, ["a", "b"])
     other = whole.select("segment", F.col("line").alias("other"), F.col("size").alias("other_size"),

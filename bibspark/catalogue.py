@@ -251,10 +251,22 @@ ABSTRACT_FIELDS = [
     "prism:volume", "prism:issueIdentifier", "prism:pageRange", "openaccess",
     "pubmed-id",
 ]
+ABSTRACT_TABLE = Table(
+    "scopus_abstract_output",
+    "dc_identifier string, dc_title string, prism_doi string,"
+    "prism_coverdate string, citedby_count string,"
+    "prism_publicationname string, subtypedescription string,"
+    "prism_volume string, prism_issueidentifier string,"
+    "prism_pagerange string, openaccess string, pubmed_id string,"
+    "affiliations string, authors string",
+    key=("dc_identifier",),
+    dedupe_key=("dc_identifier",),
+)
 
 # A search response page.
 SEARCH_ENTRY_TYPE = (
-    "struct<`dc:identifier`: string, `prism:doi`: string,"
+    "struct<`@_fa`: string, `prism:url`: string, subtype: string,"
+    " `dc:identifier`: string, `prism:doi`: string,"
     " `prism:coverDate`: string, `citedby-count`: string,"
     " `prism:publicationName`: string, subtypeDescription: string>"
 )

@@ -15,19 +15,23 @@ from bibspark.functions.cells import json_text, parse_list
 from bibspark.operators import explode as ex
 from bibspark.operators.dedupe import keep_first, keep_last
 from bibspark.operators.frames import conform, project_available
+from bibspark.operators.quality import rejected_cells
 from bibspark.sinks.files import save, write_table_parts
 
 
+def _text_cells(enriched: DataFrame) -> list[str]:
+    return [
+        name for name in catalogue.LIST_CELLS
+        if name in enriched.columns and isinstance(enriched.schema[name].dataType, StringType)
+    ]
+
+
 def typed_rows(enriched: DataFrame) -> DataFrame:
     """Rows that have a ``doi``, their list cells as typed arrays.
 
     A cell that is already an array stays as it is.
     """
-    parsed = {
-        name: parse_list(F.col(name), kind)
-        for name, kind in catalogue.LIST_CELLS.items()
-        if name in enriched.columns and isinstance(enriched.schema[name].dataType, StringType)
-    }
+    parsed = {name: parse_list(F.col(name), catalogue.LIST_CELLS[name]) for name in _text_cells(enriched)}
     valid = enriched.filter(F.col("doi").isNotNull())
     return valid.withColumns(parsed) if parsed else valid
 
@@ -125,15 +129,21 @@ def normalize(enriched: DataFrame, order: Sequence[str]) -> dict[str, DataFrame]
 
 
 def write_normalized(enriched: DataFrame, order: Sequence[str], root: str, staging: str | None = None,
-                     rows_per_part: int | None = None, format: str = "parquet", jobs: int = 4) -> dict[str, str]:
+                     rows_per_part: int | None = None, format: str = "parquet", jobs: int = 4,
+                     rejects: str | None = None) -> dict[str, str]:
     """Write all ten tables below ``root``, ``jobs`` of them at a time.
 
     With ``staging`` the parsed rows are written there once as Parquet and every
     table reads back only the columns it needs; without it each table parses
     its own cells. With ``rows_per_part`` a table comes in parts of exactly that
-    many rows, and an empty table is left out.
+    many rows, and an empty table is left out. With ``rejects`` the list cells that
+    cannot be used are written there, with the order columns and the reason.
     """
     spark = enriched.sparkSession
+    cells = _text_cells(enriched)
+    if rejects and cells:
+        with_doi = enriched.filter(F.col("doi").isNotNull())
+        save(rejected_cells(with_doi, cells, list(dict.fromkeys(["doi", *order]))), rejects)
     rows = typed_rows(enriched)
     if staging:
         rows.write.mode("overwrite").parquet(staging)

@@ -6,19 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bibspark import catalogue
-from bibspark.functions.coerce import to_date, to_double
+from bibspark.functions.coerce import to_boolean, to_date, to_double
 from bibspark.functions.dates import publication_month, publication_year
 from bibspark.operators.frames import clean_columns, ensure_columns, flatten_structs
 
 
 def entries(pages: DataFrame, body: str = "body", entry_type: str = catalogue.SEARCH_ENTRY_TYPE) -> DataFrame:
-    """One row per entry of a response page; a page without entries has none."""
+    """One row per entry of a response page; a page without entries has none.
+
+    ``entry`` holds the fields of ``entry_type``, ``entry_json`` all that the page says.
+    """
     found = F.try_variant_get(
-        F.try_parse_json(F.col(body)), "$['search-results'].entry", f"array<{entry_type}>"
+        F.try_parse_json(F.col(body)), "$['search-results'].entry", "array<variant>"
     )
     others = [c for c in pages.columns if c != body]
     return (
-        pages.select(*others, F.posexplode_outer(found).alias("entry_pos", "entry"))
+        pages.select(*others, F.posexplode_outer(found).alias("entry_pos", "_entry"))
+        .select(*others, "entry_pos", F.try_variant_get("_entry", "$", entry_type).alias("entry"),
+                F.to_json("_entry").alias("entry_json"))
         .filter(F.col("entry").isNotNull())
     )
 
@@ -31,11 +36,13 @@ def search_records(pages: DataFrame, body: str = "body", entry_type: str = catal
 
 
 def type_search_records(df: DataFrame) -> DataFrame:
-    """Expected columns present, citations numeric, cover date a date, and the
-    publication year and month with their stand-ins."""
+    """Expected columns present, citations numeric, cover date a date, the full-access
+    mark a truth value, and the publication year and month with their stand-ins."""
     full = ensure_columns(df, catalogue.SEARCH_FIELDS)
     day = to_date(F.col("prism_coverdate").cast("string"))
+    marks = {"fa": to_boolean(F.col("fa").cast("string"))} if "fa" in full.columns else {}
     return full.withColumns({
+        **marks,
         "citedby_count": to_double(F.col("citedby_count").cast("string")),
         "prism_coverdate": day,
         "publication_year": publication_year(day),

@@ -268,6 +268,8 @@ def search_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Response pages of 25 events each; only a full page points onward."""
     entry = """
     named_struct(
+      '@_fa', if(event_type = 'view', 'maybe', 'true'),
+      'prism:url', 'https://entries.example/' || event_id, 'subtype', substr(event_type, 1, 2),
       'dc:identifier', 'EID:' || user_id || '-' || event_type,
       'prism:doi', if(event_type = 'error', null, '10.2000/E.' || event_id),
       'prism:coverDate', if(event_type = 'signup', 'n.d.', date_format(ts, 'yyyy-MM-dd')),

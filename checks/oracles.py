@@ -163,7 +163,8 @@ entry as (
     case when event_type <> 'error' then '10.2000/E.' || event_id end as prism_doi,
     case when event_type <> 'signup' then cast(ts as date) end as day,
     case when event_type <> 'view' then cast(floor(value) as bigint) end as cited,
-    event_type
+    event_type, 'https://entries.example/' || event_id as prism_url, substr(event_type, 1, 2) as subtype,
+    case when event_type <> 'view' then true end as fa
   from events),
 page as (select page_no, url, count(*) as n from entry group by all)"""
 
@@ -239,7 +240,7 @@ ORACLES: dict[str, str] = {
     "search_feed_records": f"""with {PAGES}
         select page_no, entry_pos, dc_identifier, prism_doi, cast(day as varchar) as prism_coverdate,
           cast(cited as double) as citedby_count, 'Feed ' || event_type as prism_publicationname,
-          event_type as subtypedescription,
+          event_type as subtypedescription, prism_url, subtype, fa,
           cast(coalesce(year(day), 2100) as integer) as publication_year,
           cast(coalesce(month(day), 0) as integer) as publication_month from entry""",
     "next_link": f"""with {PAGES} select page_no, url,
@@ -274,7 +275,8 @@ ORACLES: dict[str, str] = {
                   'authorship_institutions', 'authorship_countries', 'publication_funding',
                   'publication_citation_counts'], '{}_t')}
         union all select 'publications', count(distinct doi) from whole
-        union all select 'raw_scopus_search', count(distinct doi) from whole""",
+        union all select 'raw_scopus_search', count(distinct doi) from whole
+        union all select 'rejects', count(*) from whole where doi is not null and l_discount in (0.09, 0.1)""",
     "upsert_update": f"""with {SEARCH}, {UPSERT}
         select * from older where dc_identifier not in (select dc_identifier from newer)
         union all select * from newer""",
@@ -320,6 +322,18 @@ ORACLES: dict[str, str] = {
         case when lang <> 'de' then source end as first_author,
         case when lang <> 'de' then 'A' || doc_id end as first_author_affiliation,
         cast(null as varchar) as second_author_affiliation from documents""",
+    "abstract_refresh": """select 'DOC:' || doc_id as dc_identifier, text as dc_title,
+        '10.3000/D.' || doc_id as prism_doi, cast(null as varchar) as prism_coverdate,
+        cast(n_chars as varchar) as citedby_count, source as prism_publicationname,
+        lang as subtypedescription, cast(null as varchar) as prism_volume,
+        cast(null as varchar) as prism_issueidentifier, cast(null as varchar) as prism_pagerange,
+        cast(n_chars % 2 as varchar) as openaccess, cast(null as varchar) as pubmed_id,
+        case when lang = 'fr' then '[]' else
+          '[{"name":"' || source || '","city":"' || lang || '","country":null}]' end as affiliations,
+        case when lang = 'de' then '[]' else
+          '[{"name":"' || source || '","affiliation":"A' || doc_id || '"},'
+          || '{"name":"' || lang || '","affiliation":null}]' end as authors
+        from documents where lang <> 'es'""",
     "filter_valid_keys": f"with {SEARCH} select ingest_seq, doi from search where doi is not null",
     "filter_element_ids": f"""with {AUTHORSHIPS}
         select {ORDER}, a_pos, oa_author_id as author_id from authorship""",

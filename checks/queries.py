@@ -14,7 +14,7 @@ from bibspark.functions.identifiers import format_doi
 from bibspark.operators import explode, frames, keyed, quality, ranking, works
 from bibspark.operators import dedupe
 from bibspark.plans import enrich as enriching
-from bibspark.plans import load, normalize, search
+from bibspark.plans import abstracts, load, normalize, search
 from bibspark.session import fresh_path
 from bibspark.sinks import files as sink
 from bibspark.sinks import tables as stored
@@ -112,7 +112,7 @@ def explode_entries(spark, sf):
 
 @query
 def search_feed_records(spark, sf):
-    return shown(search_pages.search_records(feed.search_pages(spark, sf)).drop("url"))
+    return shown(search_pages.search_records(feed.search_pages(spark, sf)).drop("url", "entry_json"))
 
 
 @query
@@ -203,10 +203,11 @@ def split_verify_counts(spark, sf):
 
 @query
 def sink_fanout(spark, sf):
+    rejects = fresh_path(spark, "rejects")
     paths = normalize.write_normalized(
         feed.enriched_rows(spark, sf), LINE_ORDER, fresh_path(spark, "normalized"),
-        staging=fresh_path(spark, "typed"))
-    return quality.row_counts({n: spark.read.parquet(p) for n, p in paths.items()})
+        staging=fresh_path(spark, "typed"), rejects=rejects)
+    return quality.row_counts({n: spark.read.parquet(p) for n, p in {**paths, "rejects": rejects}.items()})
 
 
 TARGET = ["dc_identifier", "citedby_count", "affiliation"]
@@ -682,6 +683,18 @@ def coerce_table(spark, sf):
     return shown(frames.conform(loose, {c: types[c] for c in kept}))
 
 
+@query
+def abstract_refresh(spark, sf):
+    """Abstracts of two runs of search rows; of each body an older, broken one has landed too."""
+    root, rejects = fresh_path(spark, "abstracts"), fresh_path(spark, "rejects")
+    rows = table(spark, sf, "documents").selectExpr("if(lang = 'es', null, '10.3000/D.' || doc_id) as prism_doi", "lang")
+    whole = feed.abstracts(spark, sf).selectExpr("'10.3000/D.' || doc_id as prism_doi", "body", "1 as version")
+    bodies = whole.unionByName(whole.selectExpr("prism_doi", "left(body, 40) as body", "0 as version"))
+    for part in (rows.filter("lang <> 'de'"), rows):
+        abstracts.refresh_abstracts(part, bodies, ["version"], root, rejects)
+    return abstracts.read_abstracts(spark, root)
+
+
 # --- incremental -----------------------------------------------------------
 
 

@@ -22,16 +22,17 @@ class MissingColumns(ValueError):
 
 
 def scan_csv(spark: SparkSession, path: str | list[str], ddl: str,
-             required: Sequence[str] = ()) -> DataFrame:
+             required: Sequence[str] = (), multi_line: bool = True) -> DataFrame:
     """The columns declared in ``ddl`` from delimited files with a header.
 
     Columns are found by name, whatever else the files hold and in whatever
     order; a declared column the files lack is NULL, unless it is ``required``.
     Quoted line breaks, doubled quotes and a byte-order mark are understood.
     Missing-value texts become NULL, then every value is parsed to its declared
-    type. Files read together share one header; see ``scan_parts`` for others.
+    type. Without ``multi_line`` no value may hold a line break, and a large file is
+    read by many tasks instead of one. Files read together share one header; see ``scan_parts`` for others.
     """
-    reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
+    reader = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8")
     header = reader.csv(path).columns
     missing = [c for c in required if c not in header]
     if missing:
@@ -43,9 +44,9 @@ def scan_csv(spark: SparkSession, path: str | list[str], ddl: str,
 
 
 def scan_search_csv(spark: SparkSession, path: str | list[str], ddl: str,
-                    raw_doi: str = "prism_doi") -> DataFrame:
+                    raw_doi: str = "prism_doi", multi_line: bool = True) -> DataFrame:
     """Search rows from delimited files, with the canonical ``doi`` added."""
-    frame = scan_csv(spark, path, ddl, required=[raw_doi])
+    frame = scan_csv(spark, path, ddl, required=[raw_doi], multi_line=multi_line)
     return frame.withColumn("doi", format_doi(F.col(raw_doi)))
 
 

@@ -2,9 +2,12 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from bibspark.operators.quality import rejected_cells
 from bibspark.plans.abstracts import read_abstracts, refresh_abstracts
 from bibspark.plans.normalize import write_normalized
+from bibspark.sources.files import scan_csv
 from bibspark.sources.search_pages import entries, search_records
 
 
@@ -59,3 +62,16 @@ def test_unusable_cells_are_written_with_their_reason(spark, tmp_path):
     full = rows.selectExpr("*", "'[]' as oa_counts_by_year", "'I' || seq as dc_identifier")
     write_normalized(full, ["seq"], str(tmp_path / "tables"), rejects=path)
     assert sorted(r.seq for r in spark.read.parquet(path).collect()) == [1, 2]
+
+
+def test_files_without_line_breaks_in_values_are_split(spark, tmp_path):
+    path = tmp_path / "rows.csv"
+    path.write_text("﻿seq,note\n" + "".join(f'{i},"a ""{i}"", b"\n' for i in range(20000)), encoding="utf-8")
+    name, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(name, "65536")
+    try:
+        frame = scan_csv(spark, str(path), "seq int, note string", multi_line=False)
+        assert frame.select(F.spark_partition_id()).distinct().count() > 1
+        assert {(r.seq, r.note) for r in frame.collect()} == {(i, f'a "{i}", b') for i in range(20000)}
+    finally:
+        spark.conf.set(name, before)

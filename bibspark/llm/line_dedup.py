@@ -94,8 +94,8 @@ def duplicate_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int =
 def deduplicate(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHORTEST) -> DataFrame:
     """``docs`` with cut texts, and ``_line_counts`` (lines, removed): see :func:`line_dedup`."""
     gone = written(duplicate_lines(docs, threshold, shortest), "gone")
-    rows = on_key(keyed(docs), gone.withColumnRenamed("gone", "_gone"))
-    lines = F.split("text", "\n")
+    rows = on_key(keyed(docs), gone.withColumnRenamed("gone", "_gone")).withColumn("_lines", F.split("text", "\n"))
+    lines = F.col("_lines")  # a column, as the lambda below would split the text anew for each line
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     cut = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
@@ -103,7 +103,7 @@ def deduplicate(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHO
                       F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("removed"))
     return rows.withColumns({"text": cut, "_line_counts": F.when(
         F.col("text").isNull(), F.struct(F.lit(0).cast("bigint").alias("lines"), F.lit(0).cast("bigint").alias("removed"))
-    ).otherwise(counts)}).drop("_gone", KEY)
+    ).otherwise(counts)}).drop("_gone", "_lines", KEY)
 
 
 def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHORTEST) -> DataFrame:

@@ -55,17 +55,18 @@ def _occurrences(docs: DataFrame) -> DataFrame:
 def _near(lines: DataFrame, threshold: int, shortest: int) -> DataFrame:
     """(a, b) of the distinct lines that an earlier one is within the threshold of."""
     sized = lines.withColumn("size", F.length("line")).filter(F.col("size") >= shortest)
-    units = sized.select("a", "b", "size", F.encode("line", "UTF-32").alias("units"))
+    units = sized.select("a", "size", F.encode("line", "UTF-32").alias("units"))
     own, others = segments(F.col("units"), F.col("size"), threshold)
-    index = units.select("a", "b", F.explode(F.array(*own)).alias("segment"))
-    probes = units.select("a", "b", F.explode(F.array(*others)).alias("segment"))
+    # one hash names a line here; lines that share it by chance are told apart by their texts below
+    index = units.select("a", F.explode(F.array(*own)).alias("segment"))
+    probes = units.select("a", F.explode(F.array(*others)).alias("segment"))
     held = index.groupBy("segment").agg(F.min("a").alias("low"), F.max("a").alias("high"))
     hits = written(
-        probes.join(held, "segment").filter("low <> high or low <> a").select("segment", "a", "b"), "hits")
+        probes.join(held, "segment").filter("low <> high or low <> a").select("segment", "a"), "hits")
     shared = held.filter("low <> high").select("segment").union(hits.select("segment")).distinct()
-    met = written(hits.union(index.join(shared, "segment").select("segment", "a", "b")), "segments")
-    texts = written(sized.join(met.select("a", "b").distinct(), ["a", "b"], "left_semi"), "near_lines")
-    whole = met.join(texts, ["a", "b"])
+    met = written(hits.union(index.join(shared, "segment").select("segment", "a")), "segments")
+    texts = written(sized.join(met.select("a").distinct(), "a", "left_semi"), "near_lines")
+    whole = met.join(texts, "a")
     other = whole.select("segment", F.col("line").alias("other"), F.col("size").alias("other_size"),
                          F.col("first").alias("other_first"))
     close = ((F.col("other_first") < F.col("first")) & (F.abs(F.col("size") - F.col("other_size")) <= threshold)

@@ -84,9 +84,11 @@ def duplicate_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int =
     """
     lines = _occurrences(docs)
     place = F.struct("doc_id", KEY, "no")
-    distinct = written(lines.groupBy("a", "b").agg(F.min(place).alias("first"), F.any_value("line").alias("line")), "lines")
+    distinct = written(lines.groupBy("a", "b").agg(
+        F.min(place).alias("first"), F.any_value("line").alias("line"), F.count("*").alias("times")), "lines")
     near = written(_near(distinct, threshold, shortest), "near")
-    verdict = distinct.select("a", "b", "first").join(near.withColumn("near", F.lit(True)), ["a", "b"], "left")
+    verdict = distinct.select("a", "b", "first", "times").join(near.withColumn("near", F.lit(True)), ["a", "b"], "left")
+    verdict = verdict.filter(F.col("near") | (F.col("times") > 1)).drop("times")
     again = lines.drop("line").join(verdict, ["a", "b"])
     again = again.filter(F.col("near") | ~place.eqNullSafe(F.col("first")))
     return again.groupBy("doc_id", KEY).agg(F.collect_set("no").alias("gone"))

@@ -15,6 +15,7 @@ from bibspark.llm.rows import KEY, keyed, on_key, written
 
 THRESHOLD = 2
 SHORTEST = 24  # characters; shorter lines are compared for equality only
+CLASSES = ("ae", "io", "nr", "st", "dlu", " cmh")  # characters counted before lines are compared; any choice is exact
 
 _SPACE = " \t\r\x0b\x0c"
 
@@ -65,12 +66,16 @@ def _near(lines: DataFrame, threshold: int, shortest: int) -> DataFrame:
         probes.join(held, "segment").filter("low <> high or low <> a").select("segment", "a"), "hits")
     shared = held.filter("low <> high").select("segment").union(hits.select("segment")).distinct()
     met = written(hits.union(index.join(shared, "segment").select("segment", "a")), "segments")
-    texts = written(sized.join(met.select("a").distinct(), "a", "left_semi"), "near_lines")
+    counts = {f"n{i}": F.length(F.translate("line", chars, "")) for i, chars in enumerate(CLASSES)}
+    texts = written(sized.join(met.select("a").distinct(), "a", "left_semi").withColumns(counts), "near_lines")
     whole = met.join(texts, "a")
     other = whole.select("segment", F.col("line").alias("other"), F.col("size").alias("other_size"),
-                         F.col("first").alias("other_first"))
+                         F.col("first").alias("other_first"), *[F.col(c).alias(f"other_{c}") for c in counts])
+    # a replaced character moves two counts by one, a lost or added one moves one; the counts
+    # are of what is left without a class, so the lengths' difference is taken off
+    apart = sum((F.abs((F.col("size") - F.col(c)) - (F.col("other_size") - F.col(f"other_{c}"))) for c in counts), F.lit(0))
     close = ((F.col("other_first") < F.col("first")) & (F.abs(F.col("size") - F.col("other_size")) <= threshold)
-             & (F.levenshtein("line", "other", threshold) >= 0))
+             & (apart <= 2 * threshold) & (F.levenshtein("line", "other", threshold) >= 0))
     here = whole.alias("h")
     there = other.alias("t")
     return here.join(there, (F.col("h.segment") == F.col("t.segment")) & close, "left_semi").select("a", "b").distinct()

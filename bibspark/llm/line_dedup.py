@@ -94,7 +94,8 @@ def duplicate_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int =
     near = written(_near(distinct, threshold, shortest), "near")
     verdict = distinct.select("a", "b", "first", "times").join(near.withColumn("near", F.lit(True)), ["a", "b"], "left")
     verdict = verdict.filter(F.col("near") | (F.col("times") > 1)).drop("times")
-    again = lines.drop("line").join(verdict, ["a", "b"])
+    # grows with the input, so it is merged at every size and broadcast at none
+    again = lines.drop("line").join(verdict.hint("merge"), ["a", "b"])
     again = again.filter(F.col("near") | ~place.eqNullSafe(F.col("first")))
     return again.groupBy("doc_id", KEY).agg(F.collect_set("no").alias("gone"))
 
@@ -102,7 +103,7 @@ def duplicate_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int =
 def deduplicate(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = SHORTEST) -> DataFrame:
     """``docs`` with cut texts, and ``_line_counts`` (lines, removed): see :func:`line_dedup`."""
     gone = written(duplicate_lines(docs, threshold, shortest), "gone")
-    rows = on_key(keyed(docs), gone.withColumnRenamed("gone", "_gone")).withColumn("_lines", F.split("text", "\n"))
+    rows = on_key(keyed(docs), gone.withColumnRenamed("gone", "_gone").hint("merge")).withColumn("_lines", F.split("text", "\n"))
     lines = F.col("_lines")  # a column, as the lambda below would split the text anew for each line
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     cut = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(

@@ -67,7 +67,8 @@ def _near(lines: DataFrame, threshold: int, shortest: int) -> DataFrame:
     shared = held.filter("low <> high").select("segment").union(hits.select("segment")).distinct()
     met = written(hits.union(index.join(shared, "segment").select("segment", "a")), "segments")
     counts = {f"n{i}": F.length(F.translate("line", chars, "")) for i, chars in enumerate(CLASSES)}
-    texts = written(sized.join(met.select("a").distinct(), "a", "left_semi").withColumns(counts), "near_lines")
+    # the lines met grow with the input, so they are merged at every size and broadcast at none
+    texts = written(sized.join(met.select("a").distinct().hint("merge"), "a", "left_semi").withColumns(counts), "near_lines")
     whole = met.join(texts, "a")
     other = whole.select("segment", F.col("line").alias("other"), F.col("size").alias("other_size"),
                          F.col("first").alias("other_first"), *[F.col(c).alias(f"other_{c}") for c in counts])
@@ -94,7 +95,6 @@ def duplicate_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int =
     near = written(_near(distinct, threshold, shortest), "near")
     verdict = distinct.select("a", "b", "first", "times").join(near.withColumn("near", F.lit(True)), ["a", "b"], "left")
     verdict = verdict.filter(F.col("near") | (F.col("times") > 1)).drop("times")
-    # grows with the input, so it is merged at every size and broadcast at none
     again = lines.drop("line").join(verdict.hint("merge"), ["a", "b"])
     again = again.filter(F.col("near") | ~place.eqNullSafe(F.col("first")))
     return again.groupBy("doc_id", KEY).agg(F.collect_set("no").alias("gone"))

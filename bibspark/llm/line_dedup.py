@@ -45,11 +45,17 @@ def segments(units: Column, size: Column, threshold: int) -> tuple[list[Column],
     return own, others
 
 
+def _trimmed(line: Column) -> Column:
+    """A line without outer white space; most have none, which is seen by two characters."""
+    outer = [F.substring(line, at, 1).isin(*_SPACE) for at in (1, -1)]
+    return F.when(outer[0] | outer[1], F.btrim(line, F.lit(_SPACE))).otherwise(line)
+
+
 def _occurrences(docs: DataFrame) -> DataFrame:
     """Every line that is not blank, by two hashes of it without outer white space."""
     lines = keyed(docs.select("doc_id", "text")).select(
         "doc_id", KEY, F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    lines = lines.withColumn("line", F.btrim("line", F.lit(_SPACE))).filter("line <> ''")
+    lines = lines.withColumn("line", _trimmed(F.col("line"))).filter("line <> ''")
     return lines.select("doc_id", KEY, "no", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"), "line")
 
 

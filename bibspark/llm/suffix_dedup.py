@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Any, Iterator
+from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +53,9 @@ def _anchor_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _SUFFIX = pa.schema([("seed", pa.int64()), ("doc_id", pa.int64()), (KEY, pa.int64()), ("place", pa.int32()),
-                     ("low", pa.int32()), ("high", pa.int32()), ("left", pa.binary()), ("right", pa.binary())])
-_SUFFIX_DDL = f"seed bigint, doc_id bigint, {KEY} bigint, place int, low int, high int, left binary, right binary"
+                     ("low", pa.int32()), ("high", pa.int32()), ("open", pa.int64()), ("left", pa.binary()), ("right", pa.binary())])
+_SUFFIX_DDL = (f"seed bigint, doc_id bigint, {KEY} bigint, place int, low int, high int, open bigint,"
+               " left binary, right binary")
 
 
 def _side(words: np.ndarray) -> bytes:
@@ -62,43 +63,35 @@ def _side(words: np.ndarray) -> bytes:
     return (words[:REACH] & np.uint64(0xFFFFFFFF)).astype(">u4").tobytes()
 
 
-def _common(a: bytes, b: bytes) -> int:
-    """Words at the beginning of both."""
-    n = min(len(a), len(b))
-    if a[:n] == b[:n]:
-        return n // 4
-    x, y = np.frombuffer(a[:n], ">u4"), np.frombuffer(b[:n], ">u4")
-    return int(np.argmax(x != y))
-
-
 def neighbours(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
-    """Those of one seed's suffixes that match an earlier occurrence, and those that do not.
-
-    The suffixes are sorted by what follows, then by what precedes, and each is compared
-    with the next. Of two that match, the later one is taken out with the extent of the
-    match; the sorting goes on among the others until no neighbours match.
+    """The extents of one seed's suffixes that match earlier ones, and the suffixes with what did not match.
+
+    A match of LEAST words holds a number of words before the seed and the rest behind
+    it. For each such split the suffixes with equal words there are neighbours in the
+    order by them, and all but the first of them match; so every suffix gets the union
+    of its matches with all earlier ones, be these matched themselves or not. The splits
+    at which a suffix was the first are its open bits; without any it need not be
+    compared again, as an earlier one stands for it at every split.
     """
-    found: list[tuple] = []
-    for side in (7, 6):
-        while True:
-            rows.sort(key=lambda r: (r[side], r[1] is not None, r[1] or 0, r[2], r[3]))
-            out, i = set(), 0
-            keep = 0  # the last row that stays
-            for i in range(1, len(rows)):
-                a, b = rows[keep], rows[i]
-                left, right = _common(a[6], b[6]), _common(a[7], b[7])
-                if left + SEED + right >= LEAST:
-                    later = i if (a[1] is not None, a[1] or 0, a[2], a[3]) <= (b[1] is not None, b[1] or 0, b[2], b[3]) else keep
-                    r = rows[later]
-                    found.append((*r[:4], r[3] - left, r[3] + SEED + right, None, None))
-                    out.add(later)
-                    keep = i if later == keep else keep
-                else:
-                    keep = i
-            if not out:
-                break
-            rows = [r for i, r in enumerate(rows) if i not in out]
-    return found, rows
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+    seen: list[set[bytes]] = [set() for _ in range(REACH + 1)]
+    found, rest = [], []
+    for r in rows:
+        left, right = r[7], r[8]
+        most, least = len(left) // 4, max(0, REACH - len(right) // 4)
+        open_, low, high = 0, None, None
+        for n in range(least, most + 1):
+            words = left[: 4 * n] + right[: 4 * (REACH - n)]
+            if words not in seen[n]:
+                seen[n].add(words)
+                open_ |= 1 << n
+            else:
+                low, high = r[3] - n, r[3] + LEAST - n if high is None else high
+        if low is not None:
+            found.append((*r[:4], low, high, None, None, None))
+        if open_:
+            rest.append((*r[:6], open_, left, right))
+    return found, rest
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -116,11 +109,11 @@ def _suffixes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seeds = runs(words, SEED).view(np.int64)
             for place in marks[i]:
                 by_seed.setdefault(int(seeds[place]), []).append(
-                    (int(seeds[place]), ids[i], keys[i], place, None, None,
+                    (int(seeds[place]), ids[i], keys[i], place, None, None, None,
                      _side(words[max(0, place - REACH) : place][::-1]), _side(words[place + SEED :])))
         out: list[tuple] = []
         for rows in by_seed.values():
-            found, rest = neighbours(rows) if len(rows) > 1 else ([], rows)
+            found, rest = neighbours(rows)
             out += found
             out += rest
             if len(out) > 20_000:
@@ -130,15 +123,33 @@ def _suffixes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(out)
 
 
-def _meet(key: Any, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The seeds dealt to one bucket, each by itself."""
-    by_seed: dict[int, list[tuple]] = {}
-    for batch in parts:
-        for row in zip(*(batch.column(n).to_pylist() for n in _SUFFIX.names), strict=True):
-            by_seed.setdefault(row[0], []).append(row)
-    found = [r for rows in by_seed.values() for r in neighbours(rows)[0]]
-    for at in range(0, len(found), 20_000):
-        yield _batch(found[at : at + 20_000])
+def _across(rest: DataFrame) -> DataFrame:
+    """doc_id, row key, low and high of what earlier suffixes of any batch match, from those with open splits.
+
+    As :func:`neighbours`. Of suffixes equal over the whole reach the first stands for
+    all, at every split; only seeds with several of these are then looked at split by
+    split, a row for each open one. What is frequent leaves each task once.
+    """
+    here = F.struct("doc_id", KEY, "place")
+    rest = rest.withColumn("whole", F.xxhash64("left", "right"))
+    firsts = written(rest.groupBy("seed", "whole").agg(F.min(here).alias("first"), F.count("*").alias("times")), "firsts")
+    copies = rest.join(firsts.filter("times > 1").select("seed", "whole", "first"), ["seed", "whole"]).filter(
+        here != F.col("first"))
+    before, behind = F.length("left") / 4, F.length("right") / 4
+    copies = copies.select("doc_id", KEY, (F.col("place") - before).cast("int").alias("low"),
+                           (F.col("place") + SEED + behind).cast("int").alias("high"))
+    several = firsts.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
+    sought = firsts.join(several, "seed").select("seed", "whole", "first")
+    splits = F.array(*[F.when(F.getbit("open", F.lit(n)) == 1, F.xxhash64(
+        F.lit(n), F.substring("left", 1, 4 * n), F.substring("right", 1, 4 * (REACH - n)))) for n in range(REACH + 1)])
+    rows = rest.join(sought, ["seed", "whole"]).filter(here == F.col("first")).select(
+        "seed", "doc_id", KEY, "place", F.posexplode(splits).alias("n", "words")).filter("words is not null")
+    again = rows.groupBy("seed", "n", "words").agg(F.min(here).alias("first"), F.max(here).alias("last")).filter("first <> last")
+    again = written(again.select("seed", "n", "words", "first"), "repeated")
+    low = F.col("place") - F.col("n")
+    matched = rows.join(again, ["seed", "n", "words"]).filter(here != F.col("first")).groupBy("doc_id", KEY, "place").agg(
+        F.min(low).alias("low"), (F.max(low) + LEAST).alias("high")).drop("place")
+    return copies.unionByName(matched)
 
 
 def _cut(documents: list[bytes], marks: list[list[int]]):
@@ -169,10 +180,8 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     # a row that occurs twice is looked at once
     texts = on_key(rows, marked, "inner").dropDuplicates(["doc_id", KEY])
     local = written(texts.select("doc_id", KEY, "text", "marks").mapInArrow(_suffixes, _SUFFIX_DDL), "suffixes")
-    rest = local.filter("low is null")
-    again = rest.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
-    buckets = 16 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    across = rest.join(again, "seed").groupBy(F.pmod("seed", F.lit(buckets)).alias("bucket")).applyInArrow(_meet, _SUFFIX_DDL)
-    ranges = local.filter("low is not null").unionByName(across).groupBy("doc_id", KEY).agg(
+    rest = local.filter("open is not null")
+    across = _across(rest)
+    ranges = local.filter("low is not null").select("doc_id", KEY, "low", "high").unionByName(across).groupBy("doc_id", KEY).agg(
         F.flatten(F.collect_set(F.array("low", "high"))).alias("marks"))
     return cut_texts(docs, written(ranges, "ranges"), _cut, "n_words", "n_removed")

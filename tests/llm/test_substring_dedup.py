@@ -102,3 +102,20 @@ def test_suffixes_match_brute_force(spark, documents, rng):
         assert (r.n_words, r.n_removed) == (len(words), len(words) - len(left))
     assert sum(r.n_removed > 0 for r in got) > 20
     assert suffix_dedup(documents([])).count() == 0
+
+
+def test_suffixes_among_edited_copies(spark, documents, rng):
+    rows = []
+    for group in range(12):
+        words = sentence(rng, 130, 5000).split()
+        for copy in range(8):
+            own = list(words)
+            for at in rng.sample(range(len(own)), rng.choice([0, 1, 1, 2])):
+                own[at] = f"edit{group}-{rng.randrange(3)}"
+            head, tail = (sentence(rng, rng.choice([0, 5, 30])) for _ in range(2))
+            rows.append((10 * copy + 1000 * (group % 3) + group, " ".join([head, *own, tail])))
+    want, texts = repeats_brute(rows), dict(rows)
+    for parts in (1, 5):
+        for r in suffix_dedup(documents(rows).repartition(parts)).collect():
+            words = WORD.findall(texts[r.doc_id])
+            assert WORD.findall(r.text) == [w for w, g in zip(words, want[r.doc_id], strict=True) if not g]

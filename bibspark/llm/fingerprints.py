@@ -1,8 +1,9 @@
 """I-Match fingerprints over randomised lexicon subsets, in built-in functions only.
 
-The lexicon holds the terms whose share of documents lies in a band. It is kept as
-one bit for each of SLOTS hash slots, a slot's document frequency being that of the
-terms in it; so its size is fixed. A random part of the lexicon, the smaller the more
+The lexicon holds the terms whose share of documents lies in a band, counted for each
+term by itself. As each of them is in one of 1 / RAREST documents, there are at most
+1 / RAREST times as many as a document has terms on average, whatever the number of
+documents; so it is a table that all tasks get whole, joined to the texts' terms. A random part of the lexicon, the smaller the more
 terms a text has, is dealt to SUBSETS subsets, and each subset's distinct terms in the
 text are sorted and hashed. Two such levels are kept, so that texts of slightly
 different size share one.
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 
 from bibspark.llm.rows import written
 
-SLOTS = 1 << 18
 RAREST, COMMONEST = 1 / 4096, 1 / 4  # of all documents
 SUBSETS = 32
 PER_LEVEL = 24  # lexicon terms that a level keeps at least
@@ -30,21 +30,20 @@ def terms(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _slot(term: Column) -> Column:
-    return F.pmod(term, F.lit(SLOTS))
-
-
-def lexicon(docs: DataFrame, rarest: float = RAREST, commonest: float = COMMONEST) -> Column:
-    """The slots inside the band, 64 to a number, as a constant array."""
+def lexicon(docs: DataFrame, rarest: float = RAREST, commonest: float = COMMONEST) -> DataFrame:
+    """The hashes of the terms inside the band, as ``term``."""
     total = docs.count()
-    slots = F.array_distinct(F.transform(terms(F.coalesce("text", F.lit(""))), _slot))
-    counts = docs.select(F.explode(slots).alias("slot")).groupBy("slot").count()
+    counts = docs.select(F.explode(terms(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").count()
     inside = counts.filter((F.col("count") >= max(2.0, rarest * total)) & (F.col("count") <= max(2.0, commonest * total)))
-    words = inside.groupBy(F.floor(F.col("slot") / 64).cast("int").alias("at")).agg(
-        F.bit_or(_power(F.pmod(F.col("slot"), F.lit(64)))).alias("bits"))
-    found = {r["at"]: r["bits"] for r in words.collect()}  # at most SLOTS / 64 rows
-    text = ",".join(str(found.get(i, 0)) for i in range(SLOTS // 64))
-    return F.split(F.lit(text), ",").cast("array<bigint>")
+    return written(inside.select("term"), "lexicon")
+
+
+def with_known(rows: DataFrame, text: str, known: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the lexicon's terms of a text column; equal texts share them."""
+    a, b = F.xxhash64(text), F.xxhash64(F.lit(1), text)
+    every = rows.select(a.alias("_a"), b.alias("_b"), F.explode(terms(F.col(text))).alias("term"))
+    found = written(every.join(F.broadcast(known), "term").groupBy("_a", "_b").agg(F.collect_set("term").alias(name)), "known")
+    return rows.withColumns({"_a": a, "_b": b}).join(found.hint("merge"), ["_a", "_b"], "left").drop("_a", "_b")
 
 
 def _power(n: Column) -> Column:
@@ -56,22 +55,14 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def fingerprint(text: Column, known: Column) -> Column:
+def fingerprint(text: Column, inside: Column) -> Column:
     """struct(level, hashes): two levels of SUBSETS hashes, NULL where a subset has no term.
 
-    A text without terms has its own hash as the only one.
+    ``inside`` are the lexicon's terms of the text, NULL if it has none. A text without
+    terms has its own hash as the only one.
     """
-    found = F.transform(terms(text), lambda t: F.struct(t.alias("t"), _slot(t).alias("s")))
-
-    def in_band(x: Column) -> Column:
-        bits = F.get(known, F.shiftright(x["s"], 6).cast("int"))
-        return F.getbit(bits, F.pmod(x["s"], F.lit(64)).cast("int")) == 1
-
-    def chosen(every: Column) -> Column:
-        return _bound(F.filter(every, in_band), lambda inside: F.array_sort(
-            F.transform(F.when(F.size(inside) >= FEWEST, inside).otherwise(every), lambda x: x["t"])))
-
-    return _bound(_bound(found, chosen), lambda own: _hashed(text, own))
+    enough = F.coalesce(F.size(inside) >= FEWEST, F.lit(False))
+    return _bound(F.array_sort(F.when(enough, inside).otherwise(terms(text))), lambda own: _hashed(text, own))
 
 
 def _hashed(text: Column, chosen: Column) -> Column:
@@ -131,22 +122,22 @@ def _above(groups: DataFrame, name: str) -> DataFrame:
         name, F.coalesce("near", "far").alias("next_id"))
 
 
-def with_next(docs: DataFrame, carried: dict[str, Column]) -> DataFrame:
+def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     """doc_id, text, the carried columns, and next(text, ...), in descending id; after the last comes the first.
 
     Texts move once, to the group of ids they are in; each group also gets the rows of
     the largest id below it.
     """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOWEST)).alias("id"),
-                       F.coalesce("text", F.lit("")).alias("text"))
+                       F.coalesce("text", F.lit("")).alias("text"), *carried)
     bucket = F.floor(F.col("id") / _BUCKET)
     groups = written(rows.select("id").groupBy(bucket.alias("bucket")).agg(F.max("id").alias("top")), "id_groups")
     first = groups.agg(F.max("top")).first()[0]
     below = written(_above(groups, "bucket").select(
         "bucket", F.coalesce("next_id", F.lit(first)).cast("bigint").alias("id")), "id_edges")
-    guests = rows.join(below, "id").select("id", "text", "bucket", F.lit(True).alias("guest"))
-    at_home = rows.select("id", "text", bucket.alias("bucket"), F.lit(False).alias("guest"))
-    both = at_home.unionByName(guests).withColumns(carried)
+    guests = rows.join(below, "id").select("id", "text", *carried, "bucket", F.lit(True).alias("guest"))
+    at_home = rows.select("id", "text", *carried, bucket.alias("bucket"), F.lit(False).alias("guest"))
+    both = at_home.unionByName(guests)
     order = Window.partitionBy("bucket").orderBy("guest", F.desc("id"), F.xxhash64("text"), "text")
     following = F.lead(F.struct("text", *carried)).over(order)
     return both.withColumn("next", following).filter("not guest").select(
@@ -162,14 +153,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     document. A NULL text is empty; texts without any term are alike only if equal.
     """
     known = lexicon(docs.select("text"))
-    rows = with_next(docs.select("doc_id", "text"), {"own": fingerprint(F.col("text"), known)})
+    rows = with_known(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", known, "inside")
+    rows = with_next(written(rows.select("doc_id", "text", fingerprint(F.col("text"), F.col("inside")).alias("own")), "own"), ["own"])
     half = F.floor(F.length("text") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(
         F.substring("text", F.lit(1), F.length("text") - half), F.substring("next.text", F.lit(1), half)))
-    rows = rows.select(
-        "doc_id", F.length("text").cast("bigint").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "own",
-        fingerprint(F.col("edited"), known).alias("other"), F.col("next.own").alias("following"))
+    rows = written(rows.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), "edited", "own",
+                               F.col("next.own").alias("following")), "edited")
+    rows = with_known(rows, "edited", known, "inside").select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "own",
+        fingerprint(F.col("edited"), F.col("inside")).alias("other"), "following")
     own, other = F.col("own"), F.col("other")
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", shown(own).alias("fingerprint"), shown(other).alias("edited_fingerprint"),

@@ -1,6 +1,8 @@
 import hashlib
 
-from bibspark.llm.fingerprints import fingerprints
+from pyspark.sql import functions as F
+
+from bibspark.llm.fingerprints import fingerprints, lexicon, terms
 from tests.llm.conftest import sentence
 
 
@@ -43,3 +45,13 @@ def test_empty_table_and_native_plan(spark, documents):
     assert fingerprints(documents([])).count() == 0
     plan = fingerprints(documents([(1, "a b")]))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_lexicon_counts_every_term_by_itself(spark, documents):
+    # more rare terms than any fixed number of slots could tell from those of the band
+    rows = [(i, " ".join([*(f"rare{i}x{j}" for j in range(1500)), *(f"band{k}" for k in range(40) if (i + k) % 20 == 0), "all"]))
+            for i in range(400)]
+    docs = documents(rows)
+    known = {r.term for r in lexicon(docs.select("text")).collect()}
+    band = spark.createDataFrame([(f"band{k}",) for k in range(40)], "w string").select(F.get(terms(F.col("w")), 0).alias("term"))
+    assert known == {r.term for r in band.collect()}

@@ -11,6 +11,8 @@ from bibspark.llm.fingerprints import fingerprints
 from bibspark.llm.jaccard_join import jaccard_components
 from bibspark.llm.line_dedup import line_dedup
 from bibspark.llm.packing import pack
+from bibspark.llm.periodic_runs import periodic_runs, run_digests, with_planted_runs
+from bibspark.llm.pii_crf import pii_spans, span_digests
 from bibspark.llm.ppm import score
 from bibspark.llm.quality import weights
 from bibspark.llm.rows import table
@@ -72,6 +74,14 @@ def op10_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
 
+def op12_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(pii_spans(documents(spark, sf_dir)))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(with_planted_runs(documents(spark, sf_dir))))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_sentence_span_dedup, op4_sparse_suffix_dedup,
         op5_quality_resampling, op6_token_counts, op7_partial_matching_score, op8_line_edit_dedup,
-        op9_mixture_packing, op10_imatch_fingerprints, pipeline,
+        op9_mixture_packing, op10_imatch_fingerprints, op12_pii_spans, op13_periodic_runs, pipeline,
     )
 }
 #: No query of these can be said in SQL in a time that whole tables allow; tests hold

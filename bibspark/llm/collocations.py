@@ -21,6 +21,7 @@ A text of any length is cut between words into steps, whose last words are carri
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -63,19 +64,37 @@ def tokens(text: bytes) -> Iterator[list[bytes]]:
 class Suffixes:
     """Distinct suffixes of one language: word numbers (0 for none), their counts, the words."""
 
-    rows: np.ndarray  # suffixes x depth
+    rows: np.ndarray  # suffixes x depth, in order
     counts: np.ndarray
     words: list[bytes]  # word k has number k + 1
     n: int  # all words that start a suffix
 
 
-def _ranked(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows with their summed counts; exact, one column after the other."""
-    rank = rows[:, 0].astype(np.int64)
+def _heads(rows: np.ndarray, k: int) -> np.ndarray:
+    """Where each distinct prefix of ``k`` words begins in ordered rows."""
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:, :k] != rows[:-1, :k]).any(1)
+    return np.flatnonzero(new)
+
+
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows in order with their counts; exact.
+
+    As many columns as fit are packed into one number and replaced by its rank.
+    """
+    bits = int(rows.max(initial=1)).bit_length()
+    key, used = rows[:, 0].astype(np.int64), bits
     for k in range(1, rows.shape[1]):
-        rank = np.unique(rank, return_inverse=True)[1] * (int(rows[:, k].max(initial=0)) + 1) + rows[:, k]
-    _, first, place = np.unique(rank, return_index=True, return_inverse=True)
-    return rows[first], np.bincount(place, counts, len(first)).astype(np.int64)
+        if used + bits > 62:
+            order = np.argsort(key)
+            new = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
+            key[order] = new
+            used = int(new[-1]).bit_length()
+        key = (key << bits) | rows[:, k]
+        used += bits
+    order = np.argsort(key)
+    first = np.flatnonzero(np.diff(key[order], prepend=-1))
+    return rows[order[first]], np.diff(first, append=len(key))
 
 
 def suffixes(run: list[bytes], depth: int, ended: bool) -> tuple[Suffixes, list[bytes]]:
@@ -83,8 +102,10 @@ def suffixes(run: list[bytes], depth: int, ended: bool) -> tuple[Suffixes, list[
 
     Unless the text has ``ended``, the last words need those that follow.
     """
-    number: dict[bytes, int] = {b"\n": 0}
-    ids = np.fromiter((number.setdefault(w, len(number)) for w in run), np.int32, len(run))
+    number: defaultdict[bytes, int] = defaultdict()
+    number.default_factory = number.__len__
+    number[b"\n"] = 0
+    ids = np.array(list(map(number.__getitem__, run)), np.int32)
     starts = len(ids) if ended else max(0, len(ids) - depth + 1)
     carried = run[starts:]
     padded = np.concatenate([ids, np.zeros(depth, np.int32)])
@@ -92,8 +113,11 @@ def suffixes(run: list[bytes], depth: int, ended: bool) -> tuple[Suffixes, list[
     for k in range(1, depth):  # nothing after the end of a piece
         rows[:, k] *= rows[:, k - 1] > 0
     rows = rows[rows[:, 0] > 0]
-    distinct, counts = _ranked(rows, np.ones(len(rows), np.int64))
-    return Suffixes(distinct, counts, list(number)[1:], len(rows)), carried
+    counts = np.zeros(0, np.int64)
+    if len(rows):
+        rows, counts = _distinct(rows)
+        counts = counts.astype(np.int64)
+    return Suffixes(rows, counts, list(number)[1:], int(counts.sum())), carried
 
 
 def steps(parts: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[str, Suffixes]]:
@@ -134,9 +158,10 @@ def _prefix_counts(texts: DataFrame, depth: int, hot: float) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, found in steps(parts, depth):
             rows = [(lang, b"", found.n)]
-            for k in range(1, depth):
-                prefix = found.rows[:, :k]
-                heads, counts = _ranked(prefix, found.counts)
+            for k in range(1, depth if found.n else 1):
+                first = _heads(found.rows, k)
+                counts = np.add.reduceat(found.counts, first)
+                heads = found.rows[first, :k]
                 often = (counts >= hot / 2 * found.n) & (heads[:, -1] > 0)
                 rows += [(lang, _phrase(found.words, h), c) for h, c in zip(heads[often].tolist(), counts[often].tolist(), strict=True)]
             yield batches(dict(zip(_HOT_ROWS.names, zip(*rows, strict=True), strict=True)), _HOT_ROWS)
@@ -162,27 +187,41 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
 
 
-def _route(found: Suffixes, lang: str, hot: set[tuple[str, bytes]], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def _tries(hot: list[tuple[str, bytes]]) -> dict[str, list[dict[tuple[int, bytes], int]]]:
+    """Per language and length the hot prefixes: (number of the prefix one word shorter, last word) to number."""
+    tries: dict[str, list[dict]] = {}
+    for lang, phrase in sorted(hot, key=lambda h: h[1].count(b" ")):
+        words = phrase.split(b" ")
+        levels = tries.setdefault(lang, [])
+        if len(levels) < len(words):
+            levels.append({})
+        at = 0
+        for level, word in zip(levels, words[:-1], strict=False):
+            at = level[at, word]
+        levels[len(words) - 1][at, words[-1]] = len(levels[len(words) - 1])
+    return tries
+
+
+def _route(found: Suffixes, lang: str, hot: dict, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Each suffix's bucket and the number of leading words it was dealt by."""
     n, depth = found.rows.shape
-    hashes = np.concatenate([np.zeros(1, np.uint64), _word_hashes(found.words)])
-    level = np.ones(n, np.int64)
-    going = np.arange(n)
-    hot_words = np.array([False] + [(lang, w) in hot for w in found.words])
-    for k in range(1, depth):
-        if k == 1:
-            is_hot = hot_words[found.rows[going, 0]]
-        else:
-            heads, place = np.unique(found.rows[going, :k], axis=0, return_inverse=True)
-            known = np.array([h[-1] > 0 and (lang, _phrase(found.words, h)) in hot for h in heads.tolist()], bool)
-            is_hot = known[place.reshape(-1)]
-        going = going[is_hot]
-        if not len(going):
+    number = {w: k + 1 for k, w in enumerate(found.words)}
+    level, going, state = np.ones(n, np.int64), np.arange(n), np.zeros(n, np.int64)
+    for k, trie in enumerate(hot.get(lang, ())[: depth - 1]):
+        width = len(number) + 1
+        known = [(at * width + number[word], to) for (at, word), to in trie.items() if word in number]
+        if not known:
             break
-        level[going] = k + 1
+        known_keys, known_to = np.array(sorted(known), np.int64).T
+        keys = state * width + found.rows[going, k]
+        place = np.minimum(np.searchsorted(known_keys, keys), len(known_keys) - 1)
+        is_hot = known_keys[place] == keys
+        going, state = going[is_hot], known_to[place[is_hot]]
+        level[going] = k + 2
+    hashes = np.concatenate([np.zeros(1, np.uint64), _word_hashes(found.words)])
     mixed = np.full(n, _word_hashes([lang.encode()])[0])
     for k in range(depth):
-        some = level > k
+        some = np.flatnonzero(level > k)
         mixed[some] = _mixed(mixed[some] ^ hashes[found.rows[some, k]] + np.uint64(k))
     return (mixed % np.uint64(buckets)).astype(np.int64), level
 
@@ -190,17 +229,18 @@ def _route(found: Suffixes, lang: str, hot: set[tuple[str, bytes]], buckets: int
 def _packed(found: Suffixes, some: np.ndarray, level: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
     """Some suffixes with their own small word list."""
     rows = found.rows[some]
-    used = np.unique(rows)
-    used = used[used > 0]
+    own = np.zeros(len(found.words) + 1, np.uint32)
+    own[rows] = 1
+    own[0] = 0
+    used = np.flatnonzero(own)
+    own[used] = np.arange(1, len(used) + 1)
     size = np.uint16 if len(used) < 1 << 16 else np.uint32
-    own = np.searchsorted(used, rows) + 1
-    own[rows == 0] = 0
-    words = b" ".join(found.words[k - 1] for k in used.tolist())
-    return words, own.astype(size).tobytes(), found.counts[some].astype(np.uint32).tobytes(), level[some].astype(np.uint8).tobytes()
+    words = b" ".join([found.words[k - 1] for k in used.tolist()])
+    return words, own.astype(size)[rows].tobytes(), found.counts[some].astype(np.uint32).tobytes(), level[some].astype(np.uint8).tobytes()
 
 
-def _routed(texts: DataFrame, depth: int, hot: set[tuple[str, bytes]], buckets: int) -> DataFrame:
-    known = texts.sparkSession.sparkContext.broadcast(hot)
+def _routed(texts: DataFrame, depth: int, hot: list[tuple[str, bytes]], buckets: int) -> DataFrame:
+    known = texts.sparkSession.sparkContext.broadcast(_tries(hot))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, found in steps(parts, depth):
@@ -228,34 +268,30 @@ def phrase_counts(rows: np.ndarray, weights: np.ndarray, levels: np.ndarray, lea
     in other buckets: they come out with what they have here, and are not abandoned.
     """
     depth = rows.shape[1]
-    stack = [(np.arange(len(rows)), 0, ())]
+    columns = [np.ascontiguousarray(rows[:, k]) for k in range(depth)]
+    parted = levels > 1  # mostly those dealt by one word more
+    stack = [(np.arange(len(rows)), 0, ())] if len(rows) else []
     while stack:
         pointers, place, before = stack.pop()
-        words = rows[pointers, place]
-        low, high = words.min(), words.max()
-        if low != high:
-            # the middle of three as the pivot
-            pivot = np.sort(words[[0, len(words) // 2, -1]])[1]
-            sides = (words < pivot, words == pivot, words > pivot)
-            parts = [(pointers[side], place) for side in sides]
-        else:
-            pivot, parts = low, [(pointers, place)]
-        for k, (part, _) in enumerate(parts):
-            if not len(part):
-                continue
-            split = bool((levels[part] > place + 1).any())
-            total = int(weights[part].sum())
-            if total < least and not split:
-                continue  # abandoned
-            if k != len(parts) // 2:
-                stack.append((part, place, before))
-                continue
-            if pivot == 0:
-                continue  # the ends of pieces
-            phrase = (*before, int(pivot))
+        words = columns[place][pointers]
+        # the middle of three as the pivot
+        a, b, c = int(words[0]), int(words[len(words) // 2]), int(words[-1])
+        pivot = max(min(a, b), min(max(a, b), c))
+        same = words == pivot
+        equal = pointers if same.all() else pointers[same]
+        if len(equal) < len(pointers):
+            for side in (words < pivot, words > pivot):
+                part = pointers[side]
+                if len(part) and (weights[part].sum() >= least or (parted[part].any() and (levels[part] > place + 1).any())):
+                    stack.append((part, place, before))
+        if pivot == 0:
+            continue  # the ends of pieces
+        total = int(weights[equal].sum())
+        if total >= least or levels[equal[0]] > place + 1:
+            phrase = (*before, pivot)
             yield phrase, total
             if place + 1 < depth:
-                stack.append((part, place + 1, phrase))
+                stack.append((equal, place + 1, phrase))
 
 
 _COUNTED = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
@@ -296,7 +332,7 @@ def frequent_phrases(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, ho
     # bounded: at most 2 / hot prefixes of each length
     rows = prefixes.filter((F.length("phrase") > 0) & (F.col("n") >= hot / 2 * total)).select("lang", "phrase").collect()
     buckets = max(1, -(-total // _PER_BUCKET), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    routed = _routed(texts, depth, {(r.lang, bytes(r.phrase)) for r in rows}, buckets)
+    routed = _routed(texts, depth, [(r.lang, bytes(r.phrase)) for r in rows], buckets)
     counted = _counted(routed, depth, least).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     return written(counted.filter(F.col("n") >= least), "phrases"), sizes
 

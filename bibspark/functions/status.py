@@ -19,19 +19,7 @@ RESPONSE_DDL = (
     " body string"
 )
 
-_EMPTY_OBJECT = r"^\s*\{\s*\}\s*$"
-
-
-def is_record(body: Column) -> Column:
-    """Whether the text is a JSON object with at least one field."""
-    return F.coalesce(
-        body.rlike(r"^\s*\{") & ~body.rlike(_EMPTY_OBJECT) & F.try_parse_json(body).isNotNull(), F.lit(False)
-    )
-
-
-def is_broken(body: Column) -> Column:
-    """Whether something was landed that is no JSON."""
-    return F.coalesce((F.trim(body) != "") & F.try_parse_json(body).isNull(), F.lit(False))
+_FIELD = r'^\s*\{\s*"'  # how a valid object with a field begins
 
 
 def lookup_status(
@@ -40,7 +28,9 @@ def lookup_status(
     """Status of a lookup from what was landed for it.
 
     ``error_kind`` is NULL, ``rate_limit``, ``network`` or anything else for an
-    unexpected failure; a key nothing was landed for counts as not found.
+    unexpected failure; a key nothing was landed for counts as not found. A body is a
+    record if it is a JSON object with a field; it is parsed once, and only where none
+    of the other columns decides.
     """
     message = F.coalesce(error_message, F.lit(""))
     return (
@@ -49,7 +39,8 @@ def lookup_status(
         .when(http_status >= 400, F.format_string(HTTP_ERROR, http_status, message))
         .when(error_kind == "network", F.format_string(NETWORK, message))
         .when(error_kind.isNotNull(), F.format_string(UNEXPECTED, message))
-        .when(is_broken(body), F.lit(UNEXPECTED % "response is no JSON"))
-        .when(is_record(body), F.lit(SUCCESS))
+        .when(body.isNull() | (F.trim(body) == ""), F.lit(NOT_FOUND))
+        .when(F.try_parse_json(body).isNull(), F.lit(UNEXPECTED % "response is no JSON"))
+        .when(body.rlike(_FIELD), F.lit(SUCCESS))
         .otherwise(F.lit(NOT_FOUND))
     )

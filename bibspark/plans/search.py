@@ -73,17 +73,19 @@ def refresh_years(spark: SparkSession, path: str, new: DataFrame, order: Sequenc
     """Merge new results into the stored years they belong to and rewrite only those.
 
     The years are those that occur in ``new``; given ``years``, a new row outside them
-    is refused. Columns of either side are kept. The rewrite replaces each partition
+    is refused. A row without a year is kept under the stand-in for an unknown one, in
+    which later refreshes find it. Columns of either side are kept. The rewrite replaces each partition
     after all of them have been computed. Years are kept apart: a record that moved to
     another year stays in both.
     """
     year = F.col("publication_year")
+    new = new.withColumn("publication_year", F.coalesce(year, F.lit(catalogue.NO_YEAR)))
     found = [r[0] for r in new.select(year).distinct().collect()]  # a calendar's worth of years
     outside = [y for y in found if years is not None and y not in years]
     if outside:
         raise ValueError(f"new results of years that are not refreshed: {sorted(map(str, outside))}")
     stored = backfill_month(read_stored(spark, path, new.schema))
     merged = merge_results(
-        stored.filter(year.isin(found)), new.filter(year.isNotNull()), order, keys=["publication_year", "dc_identifier"]
+        stored.filter(year.isin(found)), new, order, keys=["publication_year", "dc_identifier"]
     )
     overwrite_years(merged, path)

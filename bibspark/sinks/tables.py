@@ -1,58 +1,44 @@
-"""Keyed tables as published snapshots."""
+"""The declared tables as keyed tables in buckets."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bibspark.catalogue import Table
+from bibspark.functions.dates import year_at_load
 from bibspark.operators.dedupe import keep_last
 from bibspark.operators.frames import conform
-from bibspark.operators.keyed import upsert
 from bibspark.operators.quality import any_null
+from bibspark.session import fresh_path
+from bibspark.sinks.buckets import BUCKETS, current, merge, read_buckets
+from bibspark.sources.files import read_stored
 
-
-def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """Complete snapshots below ``root``, oldest first."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(root)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return []
-    found = []
-    for entry in files.listStatus(folder):
-        path = entry.getPath()
-        name = path.getName()
-        if name.startswith("snapshot=") and files.exists(hadoop.Path(path, "_SUCCESS")):
-            found.append((int(name.removeprefix("snapshot=")), path.toString()))
-    return sorted(found)
-
-
-def publish(df: DataFrame, root: str) -> str:
-    """Write ``df`` as the next snapshot. Readers see it once it is complete,
-    and the one it was computed from stays as it is. Of two loads that take the
-    same number the later one fails instead of replacing the earlier."""
-    done = _snapshots(df.sparkSession, root)
-    path = f"{root}/snapshot={done[-1][0] + 1 if done else 1:06d}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
+YEAR = "publication_year"
 
 
 def read_current(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """The newest complete snapshot, or no rows before the first."""
-    done = _snapshots(spark, root)
-    if not done:
-        return spark.createDataFrame([], table.schema)
-    return spark.read.schema(table.schema).parquet(done[-1][1])
+    """The newest version, or no rows before the first."""
+    return read_buckets(spark, root, current(spark, root), table.schema)
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """Rows that loads have set aside beside the table."""
+    return read_stored(spark, f"{root}/rejects", "_none string")
 
 
 def prepare(source: DataFrame, table: Table, order: Sequence[str]) -> DataFrame:
-    """Rows fit for ``table``: its columns and types, the last row per key."""
+    """Rows fit for ``table``: its columns and types, the last row per key. A missing
+    publication year becomes its stand-in."""
     ranked = [f"_order_{i}" for i in range(len(order))]
     kept = source.select("*", *[source[c].alias(n) for c, n in zip(order, ranked)])
     typed = conform(kept, {**table.types, **{n: kept.schema[n].dataType.simpleString() for n in ranked}})
-    return keep_last(typed, table.key, ranked).select(*table.columns)
+    last = keep_last(typed, table.key, ranked).select(*table.columns)
+    if YEAR not in table.columns:
+        return last
+    return last.withColumn(YEAR, year_at_load(F.col(YEAR)))
 
 
 def split_null_keys(source: DataFrame, table: Table) -> tuple[DataFrame, DataFrame]:
@@ -61,13 +47,19 @@ def split_null_keys(source: DataFrame, table: Table) -> tuple[DataFrame, DataFra
     return source.filter(~broken), source.filter(broken)
 
 
-def load_table(source: DataFrame, root: str, table: Table, order: Sequence[str], rejects: str | None = None) -> str:
-    """Upsert ``source`` into the published table at ``root``.
+def load_table(source: DataFrame, root: str, table: Table, order: Sequence[str], rejects: str | None = None,
+               buckets: int = BUCKETS) -> str:
+    """Upsert ``source`` into the table at ``root``; returns the path of the new version.
 
-    Rows without a whole key are not loaded; with ``rejects`` they are written there.
+    Rows without a whole key are not loaded: they are added to ``rejects`` beside the
+    table, or replace what is at the place that ``rejects`` names.
     """
     whole, broken = split_null_keys(source, table)
     if rejects:
         broken.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(rejects)
-    current = read_current(source.sparkSession, root, table)
-    return publish(upsert(current, prepare(whole, table, order), table.key), root)
+    elif not broken.isEmpty():
+        broken.write.mode("append").parquet(f"{root}/rejects")
+    spark = source.sparkSession
+    staged = fresh_path(spark, table.name)
+    prepare(whole, table, order).write.parquet(staged)
+    return merge(spark.read.schema(table.schema).parquet(staged), root, table.key, table.schema, buckets)

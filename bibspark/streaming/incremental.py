@@ -10,9 +10,21 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
 from bibspark.plans.enrich import enrich, unprocessed
+from bibspark.sinks.buckets import BUCKETS, bucket_of
 from bibspark.sources.files import read_or_empty
 
 
+BUCKET = "key_bucket"
+
+
+def processed_in(spark: SparkSession, target: str, rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """What is written under the buckets that the keys of ``rows`` fall into; other folders are not read."""
+    keys = rows.filter(F.col("doi").isNotNull()).select(bucket_of(["doi"], buckets).alias(BUCKET)).distinct()
+    touched = [r[0] for r in keys.collect()]  # no more than there are buckets
+    done = read_or_empty(spark, target, f"doi string, oa_status string, query string, batch bigint, {BUCKET} int")
+    return done.filter(F.col(BUCKET).isin(touched))
+
+
 def enrich_stream(
     spark: SparkSession,
     landing: str,
@@ -22,12 +34,15 @@ def enrich_stream(
     checkpoint: str,
     max_files_per_trigger: int | None = None,
     retry_statuses: Sequence[str] = (),
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Enrich what has landed since the last run and stop.
 
     Each micro-batch leaves out the keys that other batches have written, joins
     the rest to ``responses`` and writes its own ``batch=`` folder below the
-    ``query=`` folder of its checkpoint. A batch that is run again after a failure
+    ``query=`` folder of its checkpoint. What is written is laid out by a hash of the
+    key in ``buckets`` folders, and a batch reads the keys of the buckets it has keys in,
+    not those of all history. A batch that is run again after a failure
     overwrites that folder with the same rows; nothing else is rewritten, so several
     streams may share a target.
     """
@@ -36,11 +51,13 @@ def enrich_stream(
         # the id that Spark keeps in the checkpoint, the same whenever it is resumed
         query = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
         own = (F.col("query") == query) & (F.col("batch") == batch_id)
-        done = read_or_empty(
-            batch.sparkSession, target, "doi string, oa_status string, query string, batch bigint"
-        ).filter(~own)
+        done = processed_in(batch.sparkSession, target, batch, buckets).filter(~own)
         rest = unprocessed(batch, done, retry_statuses)
-        enrich(rest, responses).write.mode("overwrite").parquet(f"{target}/query={query}/batch={batch_id}")
+        full = enrich(rest, responses).withColumn(BUCKET, bucket_of(["doi"], buckets))
+        (
+            full.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy(BUCKET).parquet(f"{target}/query={query}/batch={batch_id}")
+        )
 
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
@@ -54,4 +71,4 @@ def enrich_stream(
 
 def enriched_so_far(spark: SparkSession, target: str) -> DataFrame:
     """All rows written by all batches."""
-    return spark.read.parquet(target).drop("query", "batch")
+    return spark.read.parquet(target).drop("query", "batch", BUCKET)

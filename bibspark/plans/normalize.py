@@ -114,6 +114,8 @@ BUILDERS = {
     "publication_funding": publication_funding,
     "publication_citation_counts": publication_citation_counts,
 }
+#: The tables made of authorships.
+OF_AUTHORSHIPS = ("authors", "institutions", "publication_authorships", "authorship_institutions", "authorship_countries")
 
 
 def normalize(enriched: DataFrame, order: Sequence[str]) -> dict[str, DataFrame]:
@@ -134,8 +136,8 @@ def write_normalized(enriched: DataFrame, order: Sequence[str], root: str, stagi
     """Write all ten tables below ``root``, ``jobs`` of them at a time.
 
     With ``staging`` the parsed rows are written there once as Parquet and every
-    table reads back only the columns it needs; without it each table parses
-    its own cells. With ``rows_per_part`` a table comes in parts of exactly that
+    table reads back only the columns it needs; the authorships, of which five tables are
+    made, are exploded once beside them. Without it each table parses its own cells. With ``rows_per_part`` a table comes in parts of exactly that
     many rows, and an empty table is left out. With ``rejects`` the list cells that
     cannot be used are written there, with the order columns and the reason.
     """
@@ -148,10 +150,15 @@ def write_normalized(enriched: DataFrame, order: Sequence[str], root: str, stagi
     if staging:
         rows.write.mode("overwrite").parquet(staging)
         rows = spark.read.schema(rows.schema).parquet(staging)
+    sources = dict.fromkeys(BUILDERS, rows)
+    if staging and "oa_authorships" in rows.columns:
+        exploded = ex.all_authorships(rows, order)
+        exploded.write.mode("overwrite").parquet(f"{staging}-authorships")
+        sources |= dict.fromkeys(OF_AUTHORSHIPS, spark.read.schema(exploded.schema).parquet(f"{staging}-authorships"))
 
     def write(name: str) -> tuple[str, str]:
         spec, path = catalogue.TABLES[name], f"{root}/{name}"
-        table = BUILDERS[name](rows, order)
+        table = BUILDERS[name](sources[name], order)
         if rows_per_part:
             write_table_parts(table, path, spec.columns, spec.dedupe_key, rows_per_part, format)
         else:

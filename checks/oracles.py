@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bibspark.catalogue import TABLES
+
 ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
 LAST = ", ".join(f"{c} desc" for c in ORDER.split(", "))
 
@@ -205,6 +207,22 @@ def _report(names: list[str], source: str) -> str:
     )
 
 
+#: The columns of the tables whose contents are compared, others being NULL.
+DIGESTED = {**{t.name: t.columns for t in TABLES.values()}, "rejects": ["doi", "cell", "reject_reason", "value"]}
+GIVEN = {
+    "publications": {"doi", "oa_title", "oa_cited_by_count", "oa_fwci", "oa_status"},
+    "raw_scopus_search": {"dc_identifier", "prism_coverdate", "citedby_count", "publication_year", "publication_month", "doi"},
+}
+
+
+def _digest(name: str) -> str:
+    cells = ", ".join(
+        f"coalesce(cast({c} as varchar), '-')" if c in GIVEN.get(name, DIGESTED[name]) else "'-'" for c in sorted(DIGESTED[name]))
+    part = f"cast('0x' || substr(md5(concat_ws('|', {cells})), 1, 8) as bigint)"
+    return (f"select '{name}' as table_name, count(*) as n_rows, cast(coalesce(sum({part}), 0) as bigint) as digest"
+            f" from {name}_t")
+
+
 def _profile(columns: dict[str, str]) -> str:
     return " union all ".join(
         f"select '{name}' as column_name, count(*) > count({expr}) as has_null,"
@@ -230,6 +248,13 @@ ORACLES: dict[str, str] = {
     "scan_pruned_keys": f"with {SEARCH} select distinct doi from search where doi is not null",
     "union_parts": f"""with {SEARCH} select ingest_seq, doi,
         case when citedby_count >= 250 then citedby_count end as citedby_count from search""",
+    "union_csv_parts": f"""with {SEARCH} select ingest_seq, case when affiliation <> 'O' then doi end as doi,
+        case affiliation when 'O' then '{{"citedby_count":"' || citedby_count || '"}}'
+          when 'P' then '{{"affiliation":"P"}}' end as rest from search""",
+    "csv_rejects": """with line as (select o_orderkey, o_orderkey % 3 as kind,
+          o_orderkey || ',"note, of' || chr(10) || o_orderkey || '"' as begun from orders)
+        select begun as record, 'too few values' as reason from line where kind = 0
+        union all select begun || ',y,z', 'too many values' from line where kind = 2""",
     "null_tokens": """select o_orderkey,
         case when o_orderpriority in ('4-NOT SPECIFIED', '5-LOW') then o_orderpriority end as a,
         case o_orderstatus when 'O' then 'nAn' when 'P' then 'n/a ' end as b from orders""",
@@ -247,6 +272,14 @@ ORACLES: dict[str, str] = {
         case when n = 25 then 'page/' || (page_no + 1) end as next_url from page""",
     "missing_pages": f"""with {PAGES} select 'page/' || (page_no + 1) as url from page
         where n = 25 and page_no + 1 not in (select page_no from page)""",
+    "page_chain": f"""with {PAGES}, told as (
+          select page_no, url, page_no = 0 or page_no = 8 or lag(n) over (order by page_no) < 25
+            or lag(page_no) over (order by page_no) <> page_no - 1 as begins from page),
+        begun as (select *, max(case when begins then page_no end) over (order by page_no) as origin from told)
+        select url, 'page/' || origin as start, page_no - origin as position,
+          case when page_no = origin then 'first' else 'linked' end as state from begun
+        union all select 'ring/' || r_regionkey, null, null, 'loop' from region
+        union all select 'alone', 'alone', 0, 'first'""",
     "backfill_month": f"""with {SEARCH} select ingest_seq,
         case when affiliation <> 'P' then cast(day as varchar) end as prism_coverdate,
         case when affiliation <> 'P' then publication_month else 0 end as publication_month from search""",
@@ -270,13 +303,18 @@ ORACLES: dict[str, str] = {
         from publication_authorships_t""",
     "split_verify_counts": """select count(*) as n_source, count(*) as n_in_parts,
         (count(*) + 4999) // 5000 as n_parts, true as matches from lineitem""",
-    "sink_fanout": f"""with {AUTHORSHIPS}, {GRANTS}, {COUNTS}
-        {_report(['authors', 'institutions', 'funders', 'publication_authorships',
-                  'authorship_institutions', 'authorship_countries', 'publication_funding',
-                  'publication_citation_counts'], '{}_t')}
-        union all select 'publications', count(distinct doi) from whole
-        union all select 'raw_scopus_search', count(distinct doi) from whole
-        union all select 'rejects', count(*) from whole where doi is not null and l_discount in (0.09, 0.1)""",
+    "sink_fanout": f"""with {AUTHORSHIPS}, {GRANTS}, {COUNTS}, first_line as (
+          select * from whole where doi is not null qualify row_number() over (partition by doi order by {ORDER}) = 1),
+        publications_t as (select doi, 'Work ' || l_orderkey || '.' || l_linenumber as oa_title,
+          cast(l_quantity as integer) as oa_cited_by_count, l_discount as oa_fwci, 'Success' as oa_status from first_line),
+        raw_scopus_search_t as (select 'SID:' || l_orderkey || '.' || l_linenumber as dc_identifier,
+          cast(cast(l_shipdate as date) as varchar) as prism_coverdate, cast(l_quantity as integer) as citedby_count,
+          year(l_shipdate) as publication_year, month(l_shipdate) as publication_month, doi from first_line),
+        rejects_t as (select doi, 'oa_authorships' as cell,
+          case when l_discount = 0.1 then 'invalid json' else 'not a list' end as reject_reason,
+          case when l_discount = 0.1 then 'not json' else '{{"author": {{"id": "X"}}}}' end as value
+          from whole where doi is not null and l_discount in (0.09, 0.1))
+        {" union all ".join(_digest(n) for n in DIGESTED)}""",
     "upsert_update": f"""with {SEARCH}, {UPSERT}
         select * from older where dc_identifier not in (select dc_identifier from newer)
         union all select * from newer""",
@@ -288,6 +326,13 @@ ORACLES: dict[str, str] = {
         select {RAW_SEARCH} from (
           select *, row_number() over (partition by dc_identifier
             order by affiliation = 'F' desc, ingest_seq desc) as r from search) where r = 1""",
+    "load_counts": f"""with {SEARCH}, keyed as (
+          select case when ingest_seq % 5 <> 0 then dc_identifier end as id from search)
+        select count(*) as n_source, count(*) - count(id) as n_rejected, count(distinct id) as n_loaded,
+          count(id) - count(distinct id) as n_replaced from keyed""",
+    "load_unknown_year": f"""with {SEARCH} select dc_identifier,
+          cast(case when affiliation = 'P' then 9999 else publication_year end as integer) as publication_year from search
+        qualify row_number() over (partition by dc_identifier order by ingest_seq desc) = 1""",
     "parts_rewritten": """select c_custkey, c_mktsegment,
         (row_number() over (order by c_custkey) - 1) // 100 + 1 as part_id
         from customer where c_mktsegment = 'BUILDING'""",
@@ -468,6 +513,12 @@ ORACLES: dict[str, str] = {
           case when fresh then 'F' end as affiliation, publication_year from rows
         qualify row_number() over (partition by publication_year, dc_identifier
           order by fresh desc, ingest_seq desc) = 1""",
+    "refresh_unknown_year": f"""with {SEARCH}, rows as (
+          select ingest_seq, dc_identifier, citedby_count, affiliation <> 'O' as fresh,
+            cast(case when affiliation = 'P' then 2100 else publication_year end as integer) as publication_year from search)
+        select ingest_seq, dc_identifier, citedby_count, publication_year from rows
+        qualify row_number() over (partition by publication_year, dc_identifier
+          order by fresh desc, ingest_seq desc) = 1""",
     "quarantine_rejects": f"""select {ORDER},
         case when l_discount = 0.1 then 'invalid json' else 'not a list' end as reject_reason
         from lineitem where l_discount in (0.09, 0.1)""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +90,33 @@ def union_parts(spark, sf):
     return source.scan_parts(spark, [old, new])
 
 
+@query
+def union_csv_parts(spark, sf):
+    """Delimited parts of three headers; what no one declared is kept as text."""
+    rows = search_rows(spark, sf).select("ingest_seq", "doi", "citedby_count", "affiliation")
+    paths = []
+    for state, columns in (("F", ["ingest_seq", "doi"]), ("O", ["citedby_count", "ingest_seq"]),
+                           ("P", ["affiliation", "doi", "ingest_seq"])):
+        paths.append(fresh_path(spark, "part"))
+        rows.filter(F.col("affiliation") == state).select(*columns).write.options(header=True, escape='"').csv(paths[-1])
+    return source.scan_csv_parts(spark, paths, "ingest_seq bigint, doi string", rescued="rest")
+
+
+@query
+def csv_rejects(spark, sf):
+    """Records of two, three and four values below a header of three; notes hold line breaks."""
+    path = fresh_path(spark, "records")
+    note = "'\"note, of\n' || o_orderkey || '\"'"
+    table(spark, sf, "orders").selectExpr(f"""
+      case o_orderkey % 3 when 0 then o_orderkey || ',' || {note} when 1 then o_orderkey || ',' || {note} || ',x'
+        else o_orderkey || ',' || {note} || ',y,z' end as value""").write.text(path)
+    head = fresh_path(spark, "records")
+    # the header is the first line of each file, so the records are read and written below one
+    lines = spark.read.option("lineSep", "\u0001").text(path)
+    lines.select(F.concat(F.lit("k,note,mark\n"), F.col("value")).alias("value")).write.option("lineSep", "\u0001").text(head)
+    return source.csv_rejects(spark, head).filter("record <> '\u0001'").select("record", "reason")
+
+
 @query
 def null_tokens(spark, sf):
     texts = table(spark, sf, "orders").selectExpr(
@@ -125,6 +153,17 @@ def missing_pages(spark, sf):
     return search_pages.missing_pages(search_pages.next_links(feed.search_pages(spark, sf)))
 
 
+@query
+def page_chain(spark, sf):
+    """The landed pages with one link cut, a ring of five pages, and a page that is pointed to from nowhere."""
+    links = search_pages.next_links(feed.search_pages(spark, sf)).selectExpr(
+        "url", "if(page_no = 7, null, next_url) as next_url")
+    ring = table(spark, sf, "region").selectExpr(
+        "'ring/' || r_regionkey as url", "'ring/' || ((r_regionkey + 1) % 5) as next_url")
+    alone = table(spark, sf, "region").filter("r_regionkey = 0").selectExpr("'alone' as url", "cast(null as string) as next_url")
+    return search_pages.page_chains(links.unionByName(ring).unionByName(alone))
+
+
 @query
 def backfill_month(spark, sf):
     rows = feed.search_rows(spark, sf).selectExpr(
@@ -201,13 +240,22 @@ def split_verify_counts(spark, sf):
     return sink.verify_parts(lines, sink.part_counts(spark, path))
 
 
+def _digest(df, name):
+    """Rows of a table, and a sum over them that tells their contents, columns by name."""
+    cells_ = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in sorted(df.columns) if c not in LINE_ORDER]
+    part = F.conv(F.substring(F.md5(F.concat_ws("|", *cells_).cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum(part), F.lit(0)).alias("digest")).select(
+        F.lit(name).alias("table_name"), "n_rows", "digest")
+
+
 @query
 def sink_fanout(spark, sf):
     rejects = fresh_path(spark, "rejects")
     paths = normalize.write_normalized(
         feed.enriched_rows(spark, sf), LINE_ORDER, fresh_path(spark, "normalized"),
         staging=fresh_path(spark, "typed"), rejects=rejects)
-    return quality.row_counts({n: spark.read.parquet(p) for n, p in {**paths, "rejects": rejects}.items()})
+    frames = {n: spark.read.parquet(p) for n, p in {**paths, "rejects": rejects}.items()}
+    return reduce(DataFrame.unionByName, [_digest(shown(df), n) for n, df in frames.items()])
 
 
 TARGET = ["dc_identifier", "citedby_count", "affiliation"]
@@ -251,6 +299,26 @@ def load_tables(spark, sf):
     return shown(stored.read_current(spark, f"{root}/{spec.name}", spec))
 
 
+@query
+def load_counts(spark, sf):
+    """A first load of rows of which some miss their key and many repeat it."""
+    spec = TABLES["raw_scopus_search"]
+    root = fresh_path(spark, "loaded")
+    rows = search_rows(spark, sf).withColumn("dc_identifier", F.expr("if(ingest_seq % 5 = 0, null, dc_identifier)"))
+    load.load_all({spec.name: rows}, root, {spec.name: ["ingest_seq"]})
+    return load.load_counts(rows, f"{root}/{spec.name}", spec)
+
+
+@query
+def load_unknown_year(spark, sf):
+    """Rows whose year is unknown get its stand-in when they are loaded."""
+    spec = TABLES["raw_scopus_search"]
+    root = fresh_path(spark, "loaded")
+    rows = search_rows(spark, sf).withColumn("publication_year", F.expr("if(affiliation = 'P', null, publication_year)"))
+    stored.load_table(rows, root, spec, ["ingest_seq"])
+    return stored.read_current(spark, root, spec).select("dc_identifier", "publication_year")
+
+
 @query
 def parts_rewritten(spark, sf):
     """Parts of all customers, then of the few of one segment to the same place."""
@@ -727,6 +795,19 @@ def incremental_refresh(spark, sf):
         "ingest_seq", "dc_identifier", "citedby_count", "affiliation", "publication_year")
 
 
+@query
+def refresh_unknown_year(spark, sf):
+    """A refresh with rows whose year is unknown, run twice."""
+    path = fresh_path(spark, "refreshed")
+    rows = feed.search_rows(spark, sf).select("ingest_seq", "dc_identifier", "citedby_count", "affiliation", "publication_year")
+    rows = rows.withColumn("publication_year", F.expr("if(affiliation = 'P', null, publication_year)"))
+    sink.overwrite_years(dedupe.keep_last(
+        rows.filter("affiliation = 'O'"), ["publication_year", "dc_identifier"], ["ingest_seq"], carry_order=True), path)
+    for _ in range(2):
+        search.refresh_years(spark, path, rows.filter("affiliation <> 'O'"), ["ingest_seq"])
+    return spark.read.parquet(path).select("ingest_seq", "dc_identifier", "citedby_count", "publication_year")
+
+
 # --- data quality ----------------------------------------------------------
 
 

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from bibspark import catalogue
-from bibspark.functions.cells import json_text, parse_list
+from bibspark.functions.cells import json_text, parse_cell, parse_list
 from bibspark.operators import explode as ex
 from bibspark.operators.dedupe import keep_first, keep_last
 from bibspark.operators.frames import conform, project_available
-from bibspark.operators.quality import rejected_cells
+from bibspark.operators.quality import judged_cells, rejected_cells
 from bibspark.sinks.files import save, write_table_parts
 
 
@@ -26,6 +26,9 @@ def _text_cells(enriched: DataFrame) -> list[str]:
     ]
 
 
+_JUDGED = "_judged_cells"
+
+
 def typed_rows(enriched: DataFrame) -> DataFrame:
     """Rows that have a ``doi``, their list cells as typed arrays.
 
@@ -36,6 +39,16 @@ def typed_rows(enriched: DataFrame) -> DataFrame:
     return valid.withColumns(parsed) if parsed else valid
 
 
+def judged_rows(enriched: DataFrame) -> DataFrame:
+    """``typed_rows`` with what is wrong with their cells; each cell is parsed once for both."""
+    cells = _text_cells(enriched)
+    variants = {name: f"_variant_{name}" for name in cells}
+    valid = enriched.filter(F.col("doi").isNotNull()).withColumns({v: parse_cell(F.col(c)) for c, v in variants.items()})
+    typed = {c: F.try_variant_get(v, "$", catalogue.LIST_CELLS[c]) for c, v in variants.items()}
+    judged = judged_cells(cells, {c: F.col(v) for c, v in variants.items()})
+    return valid.withColumns({**typed, _JUDGED: judged}).drop(*variants.values())
+
+
 def _first(rows: DataFrame, table: str, order: Sequence[str]) -> DataFrame:
     spec = catalogue.TABLES[table]
     return keep_first(rows, spec.dedupe_key, order).select(*spec.columns)
@@ -142,13 +155,16 @@ def write_normalized(enriched: DataFrame, order: Sequence[str], root: str, stagi
     cannot be used are written there, with the order columns and the reason.
     """
     spark = enriched.sparkSession
-    cells = _text_cells(enriched)
-    if rejects and cells:
-        with_doi = enriched.filter(F.col("doi").isNotNull())
-        save(rejected_cells(with_doi, cells, list(dict.fromkeys(["doi", *order]))), rejects)
+    cells, named = _text_cells(enriched), list(dict.fromkeys(["doi", *order]))
+    if rejects and cells and not staging:
+        save(rejected_cells(enriched.filter(F.col("doi").isNotNull()), cells, named), rejects)
     rows = typed_rows(enriched)
     if staging:
-        rows.write.mode("overwrite").parquet(staging)
+        # what is wrong with a cell is found where it is parsed, and stored beside the result
+        (judged_rows(enriched) if rejects and cells else rows).write.mode("overwrite").parquet(staging)
+        if rejects and cells:
+            found = spark.read.parquet(staging).select(*named, F.explode(_JUDGED).alias("r"))
+            save(found.select(*named, "r.*"), rejects)
         rows = spark.read.schema(rows.schema).parquet(staging)
     sources = dict.fromkeys(BUILDERS, rows)
     if staging and "oa_authorships" in rows.columns:

@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 
 from bibspark.operators.keyed import upsert
 
-BUCKETS = 64
+BUCKETS = 16  # for tables of some GB; name more for larger ones, so that a bucket stays small
 _BUCKET = "_bucket"
 _ENTRY = "writer string, buckets int, bucket int, folder string"
 

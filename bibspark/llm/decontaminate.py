@@ -7,11 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bibspark.llm.rows import rows_of
+from bibspark.llm.spans import without
 from bibspark.llm.words import ALNUM, doc_words, runs
 
 WINDOW = 13
@@ -69,49 +71,76 @@ _FOUND = T.StructType([
 _FOUND_ARROW = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
 
 
-def _scan(windows, names: list[str]):
+_FOUND_NAME = "_windows_found"
+_PART_BYTES = 4 << 20  # text taken out of an Arrow batch at a time
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about a bounded size of text, one row at least."""
+    size = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0))
+    part = np.cumsum(size) // _PART_BYTES
+    at = 0
+    for to in [*(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]:
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def _scan(windows, finish=None):
+    """Adds what the windows find to each row, or hands the rows and it to ``finish``."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Windows = windows.value
-        for batch in parts:
-            documents, out = rows_of(batch), []
-            before = batch.column("found").to_pylist()
+        for batch in (p for b in parts for p in _parts(b) if len(p)):
+            documents, found = rows_of(batch), []
+            earlier = _FOUND_NAME in batch.schema.names
+            before = batch.column(_FOUND_NAME).to_pylist() if earlier else [None] * len(batch)
             for text, old, (hashes, start, end) in zip(documents, before, doc_words(documents, ALNUM), strict=True):
                 spans, items = index.hits(text, hashes, start, end)
                 if old:
                     spans += list(zip(old["spans"][::4], old["spans"][1::4], strict=True))
                     items |= set(old["items"])
                 flat = [x for a, b in _merged(spans) for x in (a, b, int(start[a]), int(end[b - 1]))]
-                out.append({"n_words": len(hashes), "spans": flat, "items": sorted(items)})
-            columns = [pa.array(out, _FOUND_ARROW) if n == "found" else batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                found.append({"n_words": len(hashes), "spans": flat, "items": sorted(items)})
+            names = [n for n in batch.schema.names if n != _FOUND_NAME]
+            rows = batch.select(names)
+            if finish:
+                yield finish(rows, documents, found)
+            else:
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, _FOUND_ARROW)], names=[*names, _FOUND_NAME])
 
     return run
 
 
-def find_windows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, slice_bytes: int = SLICE_BYTES,
-                 keep_rows: bool = False) -> DataFrame:
-    """(doc_id, text, found[, row]) of every row: its words and the spans and items hit.
+def _scanned(docs: DataFrame, benchmark: DataFrame, size: int, slice_bytes: int = SLICE_BYTES, finish=None) -> DataFrame:
+    """``docs`` with the words of every row and the spans and items hit in it, or, with
+    ``finish``, with what that makes of the rows and these.
 
     The benchmark's size is measured; it is dealt by a hash of its rows to as many
-    slices of about ``slice_bytes`` as that takes. One slice's windows are broadcast
-    at a time, and a scan per slice adds to what the scans before it found.
+    slices of about ``slice_bytes`` as that takes. A scan per slice adds to what the
+    scans before it found; the last one finishes, so with one slice the rows go through
+    Python once.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                              F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = -(-total // slice_bytes) or 1
-    row = [F.struct("*").alias("row")] if keep_rows else []
-    frame = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
-                        F.lit(None).cast(_FOUND).alias("found"), *row)
+    frame, with_found = docs, T.StructType([*docs.schema.fields, T.StructField(_FOUND_NAME, _FOUND)])
     for k in range(slices):
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(slices)) == k).toArrow()
         pairs = list(zip(part["item"].to_pylist(), [t.encode() for t in part["text"].to_pylist()], strict=True))
         sent = spark.sparkContext.broadcast(Windows(pairs, size))
-        frame = frame.mapInArrow(_scan(sent, frame.columns), frame.schema)
+        last = finish if k == slices - 1 else None
+        frame = frame.mapInArrow(_scan(sent, last), docs.schema if last else with_found)
     return frame
 
 
+def find_windows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """(doc_id, text, found) of every row: its words and the spans and items hit."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return _scanned(texts, benchmark, size, slice_bytes).withColumnRenamed(_FOUND_NAME, "found")
+
+
 def _digest() -> F.Column:
     return F.sha2(F.array_join(F.array_sort("found.items"), ","), 256)
 
@@ -124,7 +153,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, per
     are judged alike; an item that is listed twice counts once; an item without id
     counts under the name null. An empty benchmark finds nothing.
     """
-    found = find_windows(docs.select("doc_id", "text"), benchmark, size).select("doc_id", "found")
+    found = find_windows(docs, benchmark, size).select("doc_id", "found")
     pairs = F.sequence(F.lit(0), (F.size("found.spans") / 4 - 1).cast("int"))
     n_hit = F.when(F.size("found.spans") > 0, F.aggregate(
         pairs, F.lit(0).cast("bigint"),
@@ -136,32 +165,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, per
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words")))
 
 
-def _judge(names: list[str], percent: int, spans: bool):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            rows = batch.column("row")
-            texts = rows_of(batch) if spans else None
-            keep, cut = [], []
-            for i, found in enumerate(batch.column("found").to_pylist()):
-                flat = found["spans"]
-                hit = sum(flat[1::4]) - sum(flat[::4])
-                dirty = hit > 0 and 100 * hit >= percent * found["n_words"]
-                keep.append(spans or not dirty)
-                if spans:
-                    text, at, left = texts[i], 0, []
-                    for a, b in zip(flat[2::4], flat[3::4], strict=True) if dirty else ():
-                        left.append(text[at:a])
-                        at = b
-                    cut.append(b"".join([*left, text[at:]]).decode())
-            columns = dict(zip(rows.type.names if hasattr(rows.type, "names") else [f.name for f in rows.type],
-                               rows.flatten(), strict=True))
-            if spans:
-                old = columns["text"]
-                columns["text"] = pa.array([None if v is None else c for v, c in zip(old.to_pylist(), cut, strict=True)],
-                                           pa.string())
-            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names).filter(pa.array(keep))
+def _judge(percent: int, spans: bool):
+    """Drops contaminated rows, or cuts the spans out of their texts."""
 
-    return run
+    def finish(rows: pa.RecordBatch, documents: list[bytes], found: list[dict]) -> pa.RecordBatch:
+        hit = [sum(f["spans"][1::4]) - sum(f["spans"][::4]) for f in found]
+        dirty = [h > 0 and 100 * h >= percent * f["n_words"] for h, f in zip(hit, found, strict=True)]
+        if not spans:
+            return rows.filter(pa.array([not d for d in dirty]))
+        texts = rows.column("text").to_pylist()
+        for i in np.flatnonzero(dirty).tolist():
+            flat = found[i]["spans"]
+            texts[i] = without(documents[i], list(zip(flat[2::4], flat[3::4], strict=True))).decode()
+        place = rows.schema.get_field_index("text")
+        return rows.set_column(place, rows.schema.field(place), pa.array(texts, rows.schema.field(place).type))
+
+    return finish
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", size: int = WINDOW,
@@ -170,8 +189,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 
     All columns are kept whatever their names; clean rows are unchanged.
     """
-    found = find_windows(docs, benchmark, size, keep_rows=True)
-    return found.mapInArrow(_judge(docs.columns, percent, remove == "spans"), docs.schema)
+    return _scanned(docs, benchmark, size, finish=_judge(percent, remove == "spans"))
 
 
 def digest_of(items: set[str]) -> str:

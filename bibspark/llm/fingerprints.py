@@ -1,12 +1,14 @@
 """I-Match fingerprints over randomised lexicon subsets, in built-in functions only.
 
-The lexicon holds the terms whose share of documents lies in a band, counted for each
-term by itself. As each of them is in one of 1 / RAREST documents, there are at most
-1 / RAREST times as many as a document has terms on average, whatever the number of
-documents; so it is a table that all tasks get whole, joined to the texts' terms. A random part of the lexicon, the smaller the more
-terms a text has, is dealt to SUBSETS subsets, and each subset's distinct terms in the
-text are sorted and hashed. Two such levels are kept, so that texts of slightly
-different size share one.
+The lexicon holds the terms that are in two documents or more and whose share of
+documents lies in a band, counted for each term by itself. As each of them is in one of
+1 / RAREST documents, there are at most 1 / RAREST times as many as a document has terms
+on average, whatever the number of documents. So all tasks get it whole, as one value of
+SLOTS short lists, in which a text's terms are looked up where the text is; a lexicon of
+more than MOST terms (texts of a thousand terms on average) is joined to the texts'
+terms instead. A random part of the lexicon, the smaller the more terms a text has, is
+dealt to SUBSETS subsets, and each subset's distinct terms in the text are sorted and
+hashed. Two such levels are kept, so that texts of slightly different size share one.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ RAREST, COMMONEST = 1 / 4096, 1 / 4  # of all documents
 SUBSETS = 32
 PER_LEVEL = 24  # lexicon terms that a level keeps at least
 FEWEST = 8  # a text with fewer lexicon terms is taken with all its terms
+SLOTS = 1 << 16
+MOST = 1 << 22  # terms, 32 MB
 _BUCKET = 1024
 _LOWEST = -(1 << 63)
 
@@ -38,12 +42,37 @@ def lexicon(docs: DataFrame, rarest: float = RAREST, commonest: float = COMMONES
     return written(inside.select("term"), "lexicon")
 
 
-def with_known(rows: DataFrame, text: str, known: DataFrame, name: str) -> DataFrame:
-    """``rows`` with the lexicon's terms of a text column; equal texts share them."""
+def in_slots(known: DataFrame) -> Column:
+    """A lexicon of at most MOST terms as one value: the terms of each slot, in a list."""
+    lists = known.groupBy(_slot(F.col("term")).alias("slot")).agg(F.collect_list("term").alias("own"))
+    every = known.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot")).join(lists, "slot", "left")
+    own = F.coalesce("own", F.array().cast("array<bigint>"))
+    whole = every.agg(F.array_sort(F.collect_list(F.struct("slot", own.alias("own")))).alias("slots"))
+    value = whole.select(F.to_json(F.transform("slots", lambda x: x["own"]))).first()[0]
+    return F.from_json(F.lit(value), "array<array<bigint>>")  # of a literal, so Spark computes it once
+
+
+def _slot(term: Column) -> Column:
+    return F.shiftrightunsigned(term, 40).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+
+
+def looked_up(slots: Column):
+    """For a text: its terms, and those of them that the lexicon holds."""
+    def use(text: Column) -> Column:
+        return _bound(terms(text), lambda all_: F.struct(all_.alias("all"), F.filter(
+            all_, lambda t: F.array_contains(F.get(slots, _slot(t)), t)).alias("inside")))
+
+    return use
+
+
+def with_joined(rows: DataFrame, text: str, known: DataFrame, name: str) -> DataFrame:
+    """``rows`` with such a struct of a text column, for a lexicon of any size; equal texts share them."""
     a, b = F.xxhash64(text), F.xxhash64(F.lit(1), text)
     every = rows.select(a.alias("_a"), b.alias("_b"), F.explode(terms(F.col(text))).alias("term"))
-    found = written(every.join(F.broadcast(known), "term").groupBy("_a", "_b").agg(F.collect_set("term").alias(name)), "known")
-    return rows.withColumns({"_a": a, "_b": b}).join(found.hint("merge"), ["_a", "_b"], "left").drop("_a", "_b")
+    found = written(every.join(known, "term").groupBy("_a", "_b").agg(F.collect_set("term").alias("_in")), "known")
+    joined = rows.withColumns({"_a": a, "_b": b}).join(found, ["_a", "_b"], "left")
+    inside = F.coalesce("_in", F.array().cast("array<bigint>"))
+    return joined.withColumn(name, F.struct(terms(F.col(text)).alias("all"), inside.alias("inside"))).drop("_a", "_b", "_in")
 
 
 def _power(n: Column) -> Column:
@@ -55,14 +84,14 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def fingerprint(text: Column, inside: Column) -> Column:
+def fingerprint(text: Column, found: Column) -> Column:
     """struct(level, hashes): two levels of SUBSETS hashes, NULL where a subset has no term.
 
-    ``inside`` are the lexicon's terms of the text, NULL if it has none. A text without
-    terms has its own hash as the only one.
+    ``found`` holds the text's terms and those in the lexicon; the former count where
+    the latter are fewer than FEWEST. A text without terms has its own hash as the only one.
     """
-    enough = F.coalesce(F.size(inside) >= FEWEST, F.lit(False))
-    return _bound(F.array_sort(F.when(enough, inside).otherwise(terms(text))), lambda own: _hashed(text, own))
+    chosen = F.when(F.size(found["inside"]) >= FEWEST, found["inside"]).otherwise(found["all"])
+    return _bound(F.array_sort(chosen), lambda own: _hashed(text, own))
 
 
 def _hashed(text: Column, chosen: Column) -> Column:
@@ -153,16 +182,26 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     document. A NULL text is empty; texts without any term are alike only if equal.
     """
     known = lexicon(docs.select("text"))
-    rows = with_known(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", known, "inside")
-    rows = with_next(written(rows.select("doc_id", "text", fingerprint(F.col("text"), F.col("inside")).alias("own")), "own"), ["own"])
+    if known.count() <= MOST:
+        look = looked_up(in_slots(known))
+
+        def marked(rows: DataFrame, text: str, name: str) -> DataFrame:
+            return rows.withColumn(name, _bound(look(F.col(text)), lambda found: fingerprint(F.col(text), found)))
+    else:
+        def marked(rows: DataFrame, text: str, name: str) -> DataFrame:
+            return with_joined(rows, text, known, "_found").withColumn(
+                name, fingerprint(F.col(text), F.col("_found"))).drop("_found")
+
+    rows = marked(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "own")
+    rows = with_next(rows, ["own"])
     half = F.floor(F.length("text") / 2).cast("int")
-    rows = rows.withColumn("edited", F.concat(
-        F.substring("text", F.lit(1), F.length("text") - half), F.substring("next.text", F.lit(1), half)))
-    rows = written(rows.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), "edited", "own",
-                               F.col("next.own").alias("following")), "edited")
-    rows = with_known(rows, "edited", known, "inside").select(
-        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "own",
-        fingerprint(F.col("edited"), F.col("inside")).alias("other"), "following")
+    rows = rows.select(
+        "doc_id", F.length("text").cast("bigint").alias("n_chars"), "own", F.col("next.own").alias("following"),
+        F.concat(F.substring("text", F.lit(1), F.length("text") - half),
+                 F.substring("next.text", F.lit(1), half)).alias("edited"))
+    rows = written(marked(rows, "edited", "other").select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "own", "other",
+        "following"), "marked")
     own, other = F.col("own"), F.col("other")
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", shown(own).alias("fingerprint"), shown(other).alias("edited_fingerprint"),

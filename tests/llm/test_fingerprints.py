@@ -55,3 +55,67 @@ def test_lexicon_counts_every_term_by_itself(spark, documents):
     known = {r.term for r in lexicon(docs.select("text")).collect()}
     band = spark.createDataFrame([(f"band{k}",) for k in range(40)], "w string").select(F.get(terms(F.col("w")), 0).alias("term"))
     assert known == {r.term for r in band.collect()}
+
+
+def test_a_lexicon_of_any_size_gives_the_same(spark, documents, monkeypatch, rng):
+    from bibspark.llm import fingerprints as module
+
+    frame = documents(made(rng))
+    small = sorted(map(str, fingerprints(frame).collect()))
+    monkeypatch.setattr(module, "MOST", 0)
+    assert sorted(map(str, fingerprints(frame).collect())) == small
+
+
+def brute_fingerprint(text, hashes_of, known):
+    """The level and the terms of each subset, with sets of Python."""
+    all_ = hashes_of[text]
+    inside = [t for t in all_ if t in known]
+    chosen = sorted(inside if len(inside) >= 8 else all_)
+    if not chosen:
+        return text
+    level = max(0, (len(chosen) // 24).bit_length() - 1)
+    cells = []
+    for step in (0, 1):
+        kept = [t for t in chosen if ((t % 2**64) >> 24) & (2 ** (level + step) - 1) == 0]
+        cells += [tuple(t for t in kept if ((t % 2**64) >> 18) % 32 == k) for k in range(32)]
+    return level, tuple(cells)
+
+
+def brute_likeness(a, b):
+    if a == b:
+        return 1.0
+    if isinstance(a, str) or isinstance(b, str) or abs(a[0] - b[0]) > 1:
+        return 0.0
+    low, high = slice(0, 32), slice(32, 64)
+    both = slice(0, 64)
+    x, y = {0: (both, both), 1: (high, low), -1: (low, high)}[b[0] - a[0]]
+    pairs = [(p, q) for p, q in zip(a[1][x], b[1][y], strict=True) if p or q]
+    return sum(p == q for p, q in pairs) / len(pairs) if pairs else 0.0
+
+
+def test_against_brute_force(spark, documents, rng):
+    rows = [(i, t) for i, t in made(rng) if i != 9 and i is not None]
+    rows.sort(key=lambda r: -r[0])
+    texts = [t or "" for _, t in rows]
+    edited = []
+    for k, text in enumerate(texts):
+        half = len(text) // 2
+        edited.append(text[: len(text) - half] + texts[(k + 1) % len(texts)][:half])
+    distinct = sorted({*texts, *edited})
+    hashes = spark.createDataFrame([(t,) for t in distinct], "t string").select("t", terms(F.col("t")).alias("h")).collect()
+    hashes_of = {r.t: r.h for r in hashes}
+    counts = {}
+    for text in texts:
+        for t in hashes_of[text]:
+            counts[t] = counts.get(t, 0) + 1
+    known = {t for t, n in counts.items() if 2 <= n <= max(2, len(rows) / 4)}
+    own = [brute_fingerprint(t, hashes_of, known) for t in texts]
+    other = [brute_fingerprint(t, hashes_of, known) for t in edited]
+    got = {r.doc_id: r for r in fingerprints(documents(rows)).collect()}
+    assert len(got) == len(rows)
+    for k, (i, _) in enumerate(rows):
+        assert abs(got[i].near_edited - brute_likeness(own[k], other[k])) < 1e-9
+        assert abs(got[i].near_next - brute_likeness(own[k], own[(k + 1) % len(rows)])) < 1e-9
+    for a in range(len(rows)):
+        for b in range(a):
+            assert (got[rows[a][0]].fingerprint == got[rows[b][0]].fingerprint) == (own[a] == own[b])

@@ -151,26 +151,26 @@ def _above(groups: DataFrame, name: str) -> DataFrame:
         name, F.coalesce("near", "far").alias("next_id"))
 
 
-def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """doc_id, text, the carried columns, and next(text, ...), in descending id; after the last comes the first.
+def with_next(docs: DataFrame, marked) -> DataFrame:
+    """doc_id, text, own and next(text, own), in descending id; after the last comes the first.
 
     Texts move once, to the group of ids they are in; each group also gets the rows of
-    the largest id below it.
+    the largest id below it. ``marked`` adds ``own`` to the rows that move.
     """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOWEST)).alias("id"),
-                       F.coalesce("text", F.lit("")).alias("text"), *carried)
+                       F.coalesce("text", F.lit("")).alias("text"))
     bucket = F.floor(F.col("id") / _BUCKET)
     groups = written(rows.select("id").groupBy(bucket.alias("bucket")).agg(F.max("id").alias("top")), "id_groups")
     first = groups.agg(F.max("top")).first()[0]
     below = written(_above(groups, "bucket").select(
         "bucket", F.coalesce("next_id", F.lit(first)).cast("bigint").alias("id")), "id_edges")
-    guests = rows.join(below, "id").select("id", "text", *carried, "bucket", F.lit(True).alias("guest"))
-    at_home = rows.select("id", "text", *carried, bucket.alias("bucket"), F.lit(False).alias("guest"))
-    both = at_home.unionByName(guests)
+    guests = rows.join(below, "id").select("id", "text", "bucket", F.lit(True).alias("guest"))
+    at_home = rows.select("id", "text", bucket.alias("bucket"), F.lit(False).alias("guest"))
+    both = marked(at_home, "text", "own").unionByName(marked(guests, "text", "own"))
     order = Window.partitionBy("bucket").orderBy("guest", F.desc("id"), F.xxhash64("text"), "text")
-    following = F.lead(F.struct("text", *carried)).over(order)
+    following = F.lead(F.struct("text", "own")).over(order)
     return both.withColumn("next", following).filter("not guest").select(
-        F.when(F.col("id") != _LOWEST, F.col("id")).alias("doc_id"), "text", *carried, "next")
+        F.when(F.col("id") != _LOWEST, F.col("id")).alias("doc_id"), "text", "own", "next")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -192,8 +192,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             return with_joined(rows, text, known, "_found").withColumn(
                 name, fingerprint(F.col(text), F.col("_found"))).drop("_found")
 
-    rows = marked(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "own")
-    rows = with_next(rows, ["own"])
+    rows = with_next(docs, marked)
     half = F.floor(F.length("text") / 2).cast("int")
     rows = rows.select(
         "doc_id", F.length("text").cast("bigint").alias("n_chars"), "own", F.col("next.own").alias("following"),

@@ -21,22 +21,26 @@ from bibspark.llm.rows import Sink, texts, written
 
 LENGTH = 2048
 END = 1
-QUEUES = 1024  # sources beyond this number share queues by hash
-SPAN = 1024  # windows that are replayed together
+QUEUES = 1024  # of more sources, those that no target names share queues by hash
+SPAN = 1024  # windows that are replayed together, fewer where there are many queues
+_CELLS = 1 << 16  # windows times queues of a replay
 _SCALE = 1 << 80
 
 
 class Schedule:
     """Which tokens of each queue every window holds.
 
-    The windows come in spans. A span's share of each queue follows from the queue
-    sizes alone, by counting the tokens ahead of it when all queues are drawn in
-    proportion to their targets; what that rounds off is the deficit with which the
-    round robin inside the span starts.
+    The round robin is replayed window by window with the targets: every queue that
+    still has tokens earns its target's share of the window, gives whole tokens and
+    carries the rest; what a queue that runs dry leaves goes to the others by their
+    targets. The windows come in spans, whose beginnings are checkpoints: how many
+    tokens of each queue lie ahead of one follows from the queue sizes alone, by drawing
+    all queues in proportion to their targets, and what that rounds off are the deficits.
     """
 
-    def __init__(self, sizes: list[int], targets: list[int], length: int = LENGTH, span: int = SPAN):
-        self.sizes, self.length, self.span = sizes, length, span
+    def __init__(self, sizes: list[int], targets: list[int], length: int = LENGTH, span: int | None = None):
+        self.sizes, self.length = sizes, length
+        self.span = span or max(8, min(SPAN, _CELLS // max(1, len(sizes))))
         self.targets = [max(1, t) for t in targets]
         self.total = sum(sizes)
         self._top = max((_SCALE * (s + 1) // t + 1 for s, t in zip(sizes, self.targets, strict=True)), default=1)
@@ -82,11 +86,19 @@ class Schedule:
         last, _ = self.ahead(min(self.total, (at + 1) * self.span * self.length))
         left = np.array(last, np.int64) - np.array(first, np.int64)
         tokens = int(left.sum())
-        share, deficit = left / max(tokens, 1), np.array(carried)
+        deficit, weight = np.array(carried, float), np.array(self.targets, float)
         takes = []
         while tokens:
             size = min(self.length, tokens)
-            deficit = deficit + share * size
+            live, earned = left > 0, float(size)
+            deficit = np.where(live, deficit, 0.0)
+            while live.any():  # each turn but the last finds a queue that runs dry
+                deficit = deficit + np.where(live, weight, 0.0) / weight[live].sum() * earned
+                dry = live & (deficit >= left)
+                earned = float((deficit - left)[dry].sum())
+                deficit, live = np.where(dry, left, deficit), live & ~dry
+                if not dry.any():
+                    break
             take = np.clip(np.floor(deficit).astype(np.int64), 0, left)
             short = size - int(take.sum())
             while short:  # the largest deficits give one more, or the smallest one less
@@ -101,7 +113,7 @@ class Schedule:
         takes = np.array(takes, np.int64).reshape(-1, len(left))
         before = np.concatenate([[first], first + np.cumsum(takes, axis=0)])
         inside = np.cumsum(takes, axis=1) - takes
-        if len(self._spans) > 256:
+        if len(self._spans) >= 64:
             self._spans.clear()
         self._spans[at] = before, inside
         return before, inside
@@ -193,30 +205,32 @@ def pack(docs: DataFrame, tokenizer: str, targets: dict[str | None, int] | None
     window is full but the last, which is cut into sequences of a power of two tokens.
 
     A NULL or empty text is the end token alone. Rows that repeat an id are documents
-    of their own; a NULL source is a source. An empty table gives no pieces. Sources
-    beyond QUEUES share queues by hash.
+    of their own; a NULL source is a source. An empty table gives no pieces. Each
+    source that a target names is a queue, at any number; a source without target comes
+    after those with one. Of more than QUEUES sources, those without share queues by hash.
     """
     spark = docs.sparkSession
     frame = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("source").cast("string").alias("source"))
     tokens = written(frame.mapInArrow(_tokenize(tokenizer, end), _TOKENS), "tokens")
     blocks = tokens.groupBy("source", "block").agg(F.sum("n").alias("n"))
     few = tokens.select("source").distinct().count() <= QUEUES
-    queue = F.coalesce("source", F.lit("")) if few else F.pmod(F.xxhash64("source"), F.lit(QUEUES)).cast("string")
-    # a NULL source and an empty one share the name; the order below keeps them apart
+    named = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))
+    wanted = {"null" if t is None else f"={t}": w for t, w in (targets or {}).items()}
+    queue = named if few else F.when(named.isin(list(wanted)), named).otherwise(
+        F.pmod(F.xxhash64("source"), F.lit(QUEUES)).cast("string"))
     before = Window.partitionBy("name").orderBy(F.col("source").asc_nulls_first(), "block").rowsBetween(
         Window.unboundedPreceding, -1)
     placed = written(blocks.withColumn("name", queue).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))),
                      "queues")
-    sizes = {r["name"]: r["n"] for r in placed.groupBy("name").agg(F.sum("n").alias("n")).collect()}  # at most QUEUES
+    sizes = {r["name"]: r["n"] for r in placed.groupBy("name").agg(F.sum("n").alias("n")).collect()}  # at most QUEUES and the targets
     names = sorted(sizes)
-    weights = targets or sizes
-    scale = max(1, (1 << 40) // max([1, *weights.values()]))
-    plan = Schedule([sizes[n] for n in names], [int(weights.get(n, 0) * scale) if targets else sizes[n] for n in names],
+    scale = (1 << 40) / max([1e-9, *wanted.values()])
+    plan = Schedule([sizes[n] for n in names], [int(wanted.get(n, 0) * scale) if targets else sizes[n] for n in names],
                     length)
     sent = spark.sparkContext.broadcast(plan)
-    number = F.array_position(F.array([F.lit(n) for n in names]), F.col("name")) - 1 if names else F.lit(0)
-    base = placed.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "base",
-                         number.cast("int").alias("queue"))
+    numbers = spark.createDataFrame([*enumerate(names)], "queue int, name string")
+    base = placed.join(numbers, "name").select(
+        F.col("source").alias("_source"), F.col("block").alias("_block"), "base", "queue")
     rows = tokens.join(base, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block")))
     rows = rows.select("doc_id", "source", "queue", (F.col("base") + F.col("place")).alias("at"), "n", "ids")
     return rows.mapInArrow(_lay_out(sent, encoder(tokenizer).dtype.str), _PIECES)

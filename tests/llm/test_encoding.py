@@ -97,5 +97,42 @@ def test_every_window_holds_the_targets():
     assert np.abs(drift).max() <= 2.5
 
 
+@pytest.mark.parametrize("windows", [1, 98, 4883])
+def test_targets_hold_in_every_window_until_a_queue_is_dry(windows):
+    size = windows * 1024
+    plan = Schedule([size, size], [5, 1])
+    takes, at = [], 0
+    while sum(map(len, takes)) < windows:
+        takes.append(np.diff(plan.replay(at)[0], axis=0))
+        at += 1
+    takes = np.concatenate(takes)
+    assert takes.sum(axis=0).tolist() == [size, size] and (takes.sum(axis=1) == 2048).all()
+    wet = int(size * 6 / 5) // 2048
+    assert np.abs(takes[:wet, 0] - 2048 * 5 / 6).max(initial=0) <= 2
+    assert (takes[wet + 1 :, 0] <= 2).all()
+    for queue, place in ((0, 0), (0, size - 1), (1, size // 3), (1, size - 1)):
+        (_, n, _, _), = plan.pieces(queue, place, 1)
+        assert n == 1
+
+
+def test_many_sources_keep_their_targets(spark):
+    heavy = {f"s{k}": 3 if k < 5 else 1 for k in range(10)}
+    rows = [(i, "a b c d e f g h " * 400, f"s{i % 10}") for i in range(40)]
+    rows += [(100 + i, "word " * (5 + i % 40), f"s{10 + i}") for i in range(1018)]
+    rows += [(5000, "null", None), (5001, "empty", "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    got = pack(docs, PATH, {**heavy, None: 0}).collect()
+    assert sum(r.length for r in got) == sum(len(library_ids(t)) + 1 for _, t, _ in rows)
+    share = {}
+    for r in got:
+        share.setdefault(r.sequence_id, {}).setdefault(r.source, 0)
+        share[r.sequence_id][r.source] += r.length
+    whole = 4 * (len(library_ids(rows[0][1])) + 1) * 20 // 3  # tokens until the first queue is dry
+    assert whole > 4 * 2048
+    for window in range(whole // 2048):
+        for name, weight in heavy.items():
+            assert abs(share[window].get(name, 0) - 2048 * weight / 20) <= 2
+
+
 def test_packing_an_empty_table(spark, documents):
     assert pack(documents([]), PATH).count() == 0

@@ -7,12 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bibspark.llm.rows import rows_of
+from bibspark.llm.rows import bounded, rows_of
 from bibspark.llm.spans import without
 from bibspark.llm.words import ALNUM, doc_words, runs
 
@@ -72,17 +71,6 @@ _FOUND_ARROW = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.int64()
 
 
 _FOUND_NAME = "_windows_found"
-_PART_BYTES = 4 << 20  # text taken out of an Arrow batch at a time
-
-
-def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """A batch in parts of about a bounded size of text, one row at least."""
-    size = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0))
-    part = np.cumsum(size) // _PART_BYTES
-    at = 0
-    for to in [*(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]:
-        yield batch.slice(at, to - at)
-        at = to
 
 
 def _scan(windows, finish=None):
@@ -90,7 +78,7 @@ def _scan(windows, finish=None):
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Windows = windows.value
-        for batch in (p for b in parts for p in _parts(b) if len(p)):
+        for batch in bounded(parts):
             documents, found = rows_of(batch), []
             earlier = _FOUND_NAME in batch.schema.names
             before = batch.column(_FOUND_NAME).to_pylist() if earlier else [None] * len(batch)

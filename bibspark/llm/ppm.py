@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bibspark.llm.rows import rows_of, written
+from bibspark.llm.rows import bounded, rows_of, written
 from bibspark.llm.words import SPACED, doc_words, slices
 
 ORDER = 2  # levels stored densely
@@ -61,25 +61,39 @@ class Alphabet:
         self.rest = np.log10(np.where(rest > 0, rest / max(rest.sum(), 1), 1.0))
 
 
+def _single_gaps(text: bytes) -> np.ndarray:
+    """The text's bytes with one gap between words, none at a stop or at the end."""
+    low = _LOWER[np.frombuffer(text, np.uint8)]
+    blank = low == 32
+    keep = ~blank
+    keep[:-1] |= ~blank[1:] & (low[1:] != _STOP)
+    low = low[keep]
+    keep = np.ones(len(low), bool)
+    keep[1:] = ~((low[1:] == 32) & (low[:-1] == _STOP))
+    return low[keep]
+
+
 def coded(documents: list[bytes], alphabet: Alphabet) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """About a megabyte at a time: symbols, the places of those that count, the document of these.
 
     Words are parted by one gap. DEEPEST ends stand before the first document and
-    after each; the first end after a document belongs to it. Negative symbols carry
-    nothing: a byte outside the alphabet is OTHER and its byte is charged apart.
+    after each; the first end after a document belongs to it. A byte outside the
+    alphabet is OTHER and its byte is charged apart. A text that comes in pieces has one
+    end, and each piece stands after the last DEEPEST symbols of the one before.
     """
     stop = bytes([_STOP]) * DEEPEST
+    tail, done = stop, 0
     for first, data, bounds in slices(documents, SPACED):
         cut = data.tobytes()
-        text = stop + b"".join([cut[a:b] + stop for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-        low = _LOWER[np.frombuffer(text, np.uint8)]
-        blank = low == 32
-        keep = ~blank
-        keep[:-1] |= ~blank[1:] & (low[1:] != _STOP)
-        low = low[keep]
-        keep = np.ones(len(low), bool)
-        keep[1:] = ~((low[1:] == 32) & (low[:-1] == _STOP))
-        low = low[keep]
+        if len(cut) + done < len(documents[first]) or done:  # a piece
+            done += len(cut)
+            last = done == len(documents[first])
+            low = _single_gaps(tail + b" " + cut + (stop if last else b""))
+            where = np.arange(DEEPEST, len(low) - (DEEPEST - 1 if last else 0))
+            yield first, alphabet.symbol[low], where, np.zeros(len(where), np.int64), alphabet.rest[low[where]]
+            tail, done = (stop, 0) if last else (low[-DEEPEST:].tobytes(), done)
+            continue
+        low = _single_gaps(stop + b"".join([cut[a:b] + stop for a, b in zip(bounds[:-1], bounds[1:], strict=True)]))
         ends = low == _STOP
         counts = ~ends
         counts[1:] |= ends[1:] & ~ends[:-1]
@@ -140,7 +154,7 @@ def _train(alphabet):
                 [pa.array(word.view(np.int64)), pa.nulls(len(word), pa.int32()), pa.nulls(len(word), pa.binary()),
                  pa.array(n)], names=["word", "slice", "counts", "n"])
 
-        for batch in parts:
+        for batch in bounded(parts):
             documents = rows_of(batch)
             ends += len(documents)
             for _, symbols, where, _, _ in coded(documents, alphabet.value):
@@ -170,7 +184,7 @@ def _deepen(alphabet, tables):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [np.frombuffer(zlib.decompress(t), np.uint16) for t in tables.value]
         counts = np.zeros((NONE + 1) * SYMBOLS, np.int32)
-        for batch in parts:
+        for batch in bounded(parts):
             for _, symbols, where, _, _ in coded(rows_of(batch), alphabet.value):
                 *_, node = _nodes(symbols, _grams(symbols), known)
                 context = node[where - 1]
@@ -262,7 +276,7 @@ def _score(alphabet, model, frequent):
         tables, logs = _tables(model.value)
         known, value, end_value = frequent.value
         number = TaskContext.get().partitionId() << 36
-        for batch in parts:
+        for batch in bounded(parts):
             ids, documents = batch.column("doc_id").to_pylist(), rows_of(batch)
             score = np.zeros(len(ids))
             for first, symbols, where, owner, extra in coded(documents, alphabet.value):
@@ -297,8 +311,8 @@ def score(docs: DataFrame) -> DataFrame:
     and ends; the other codes the words, parted by single blanks and closed by an end,
     byte by byte. A NULL or empty text is the end alone. Rows that repeat an id are
     scored each by itself. With nothing to learn from, every token is unknown and all
-    symbols are equally likely. A text over a megabyte is coded in pieces between
-    words, each with an end of its own.
+    symbols are equally likely. A text over a megabyte is coded in pieces that carry
+    their context on, with one end.
     """
     spark = docs.sparkSession
     context = spark.sparkContext

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from bibspark.session import fresh_path
 
 KEY = "_row_key"
+_PART_BYTES = 4 << 20  # text taken out of an Arrow batch at a time
 _FREE_SHUFFLE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -66,6 +68,18 @@ def rows_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return pc.cast(texts(batch, name), pa.binary()).to_pylist()
 
 
+def bounded(parts: Iterator[pa.RecordBatch], name: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches in parts of about _PART_BYTES of text, one row at least."""
+    for batch in parts:
+        size = np.asarray(pc.fill_null(pc.binary_length(batch.column(name)), 0))
+        part = np.cumsum(size) // _PART_BYTES
+        at = 0
+        for to in [*(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]:
+            if to > at:
+                yield batch.slice(at, to - at)
+            at = to
+
+
 def batches(columns: dict[str, Sequence], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
@@ -96,4 +110,4 @@ class Sink:
             yield batch
 
 
-__all__ = ["KEY", "Sink", "batches", "keyed", "on_key", "rows_of", "table", "texts", "written"]
+__all__ = ["KEY", "Sink", "batches", "bounded", "keyed", "on_key", "rows_of", "table", "texts", "written"]

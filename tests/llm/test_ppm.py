@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from bibspark.llm import ppm
+from bibspark.llm import ppm, words
 from tests.llm.conftest import sentence
 
 
@@ -105,3 +105,23 @@ def test_nothing_to_learn_from(spark, documents):
     held = next(i for i in range(100) if not ppm.is_training(i))
     row = ppm.score(documents([(held, "a b")])).first()
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (True, 3, 0, 0, 0.0)
+
+
+def test_pieces_of_a_long_text_are_coded_as_the_whole(monkeypatch, rng):
+    texts = [sentence(rng, 200).encode(), b"", b" ", b"  lead " + sentence(rng, 90).encode() + b"  \n ", b" " * 300,
+             b"a" + b" " * 200 + b"b", b"short one", b"x" * 500, " ".join("\u00e9t\u00e9" for _ in range(60)).encode()]
+    counts = np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256)
+    alphabet = ppm.Alphabet(counts)
+
+    def steps():
+        out = {k: [] for k in range(len(texts))}
+        for first, symbols, where, owner, extra in ppm.coded(texts, alphabet):
+            for w, k, e in zip(where.tolist(), owner.tolist(), extra.tolist(), strict=True):
+                out[first + k].append((tuple(symbols[w - ppm.DEEPEST : w + 1].tolist()), e))
+        return out
+
+    whole = steps()
+    for size in (16, 64, 150):
+        monkeypatch.setattr(words, "_SLICE", size)
+        assert steps() == whole
+    assert [len(whole[k]) for k in (1, 2, 4, 5)] == [1, 1, 1, 4]

@@ -150,7 +150,8 @@ def weights(docs: DataFrame, labels: DataFrame, seed: int = 0, keep: int | None
     as many as have a weight above the cut that parts the labelled rows best.
 
     The noise hangs on the row's id and text, so equal rows share a fate (ties at the
-    k-th place are all kept). A NULL or empty text has log weight 0. Where labels of
+    k-th place are all kept). Of rows that share a labelled id, the largest weight
+    counts for the cut. A NULL or empty text has log weight 0. Where labels of
     one kind are missing, everything is kept. A text over a megabyte is counted in
     pieces; the pair of tokens around a cut is left out.
     """
@@ -166,7 +167,9 @@ def weights(docs: DataFrame, labels: DataFrame, seed: int = 0, keep: int | None
     scored = written(scored.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(unit))), "weights")
     if keep is None:
         labelled = spark.createDataFrame(sample.to_pandas(), "doc_id bigint, quality int")
-        seen = scored.join(labelled, "doc_id").select("log_weight", "quality").limit(4 * max_labels).toArrow()
+        # one row for each labelled id, so at most max_labels
+        seen = scored.join(labelled, "doc_id").groupBy("doc_id").agg(
+            F.max("log_weight").alias("log_weight"), F.first("quality").alias("quality")).toArrow()
         w, q = seen["log_weight"].to_numpy(), seen["quality"].to_numpy()
         keep = scored.filter(F.col("log_weight") >= best_cut(w[q == 1], w[q == 0])).count()
     if keep <= 0:

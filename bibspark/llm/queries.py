@@ -105,6 +105,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: The other queries cannot be said in SQL in a time that whole tables allow; tests hold
 #: each against a brute-force version, an exact round trip or held-out documents.
 ORACLES: dict[str, str] = {
+    "op2_benchmark_decontamination": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS k, doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+            FROM documents
+        ), items AS (
+            SELECT coalesce(item_id :: VARCHAR, 'null') AS item, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+            FROM benchmark
+        ), item_places AS (
+            SELECT item, w, least(13, len(w)) AS size, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i
+            FROM items WHERE len(w) > 0
+        ), windows AS (
+            SELECT DISTINCT item, size, array_to_string(w[i : i + size - 1], ' ') AS gram FROM item_places
+        ), doc_places AS (
+            SELECT k, w, size, unnest(range(1, len(w) - size + 2)) AS i
+            FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size
+        ), hits AS (
+            SELECT k, i, size, item
+            FROM (SELECT k, i, size, array_to_string(w[i : i + size - 1], ' ') AS gram FROM doc_places)
+            JOIN windows USING (size, gram)
+        ), words AS (
+            SELECT k, count(DISTINCT place) AS n_hit
+            FROM (SELECT k, unnest(range(i, i + size)) AS place FROM hits) GROUP BY k
+        ), found AS (
+            SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT k, item FROM hits) GROUP BY k
+        )
+        SELECT doc_id, len(w) :: BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM docs LEFT JOIN words USING (k) LEFT JOIN found USING (k)
+    """,
     "op11_phrase_collocations": r"""
         WITH pieces AS (
             SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(

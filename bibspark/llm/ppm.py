@@ -1,35 +1,33 @@
-"""LM scoring: prediction by partial matching over a byte-context trie, beside a word model.
+"""LM scoring: prediction by partial matching over byte contexts, beside a word model.
 
-The trie's symbols are the byte values seen most often and one for all others. Its
-levels up to contexts of ORDER symbols are dense tables. Deeper levels hold the
-contexts that make up at least one in NONE places of the training text, of which
-there can be no more than NONE whatever its size. All counts come from the whole training text.
+A symbol is one of all 256 byte values, a context the ORDER bytes before it. Both
+together are one whole number, so the trie is a table with a row for every byte string
+of ORDER + 1 bytes that occurs, and each shorter level is the sums of the one above it by
+its last bytes. Counts come from the whole training text, and a context counts from
+LEAST occurrences on, whatever the size of the corpus.
 """
 
 from __future__ import annotations
 
 import zlib
-from typing import Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bibspark.llm.rows import bounded, rows_of, written
 from bibspark.llm.words import SPACED, doc_words, slices
 
-ORDER = 2  # levels stored densely
-DEEPEST = 6  # levels beyond ORDER keep the contexts that are at least 1 / NONE of all places
-SYMBOLS = 64
-NONE = (1 << 16) - 1  # at most this many contexts can be so frequent
+ORDER = 6  # bytes of the longest context; with its symbol it fits into 63 bits
+LEAST = 2  # a context that occurred less often is passed over for the shorter one
 HELD_OUT = (7, 2)  # a document is held out where crc32(doc_id) modulo the first is the second
-_OTHER, _END, _GAP = 0, 1, 2
-_FIXED = 3
-_BITS = 6
 _STOP = 0xFF  # in no UTF-8 text
+_SENT = 1 << 21  # at most so many of the commonest byte strings are sent to all tasks; the rest is joined
 _SPREAD = 1 << 18  # words so frequent that at most this many can be are sent to all tasks
+_TALLY = 1 << 21  # keys that a task holds before it counts them
 
 
 def is_training(doc_id: int | None, rule: tuple[int, int] = HELD_OUT) -> bool:
@@ -47,20 +45,6 @@ def _lower_space() -> np.ndarray:
 _LOWER = _lower_space()
 
 
-class Alphabet:
-    """Symbols for the bytes of a training text, capitals as small letters, blanks apart."""
-
-    def __init__(self, counts: np.ndarray):
-        counts = counts.astype(float)
-        counts[[32, _STOP]] = 0
-        order = [b for b in np.argsort(-counts, kind="stable") if counts[b] > 0][: SYMBOLS - _FIXED]
-        self.symbol = np.full(256, _OTHER, np.int32)
-        self.symbol[order] = np.arange(_FIXED, _FIXED + len(order))
-        self.symbol[[32, _STOP]] = _GAP, _END
-        rest = (counts + 1) * (self.symbol == _OTHER)
-        self.rest = np.log10(np.where(rest > 0, rest / max(rest.sum(), 1), 1.0))
-
-
 def _single_gaps(text: bytes) -> np.ndarray:
     """The text's bytes with one gap between words, none at a stop or at the end."""
     low = _LOWER[np.frombuffer(text, np.uint8)]
@@ -73,15 +57,14 @@ def _single_gaps(text: bytes) -> np.ndarray:
     return low[keep]
 
 
-def coded(documents: list[bytes], alphabet: Alphabet) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """About a megabyte at a time: symbols, the places of those that count, the document of these.
+def coded(documents: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """About a megabyte at a time: first document, bytes, places of those that count, whose they are.
 
-    Words are parted by one gap. DEEPEST ends stand before the first document and
-    after each; the first end after a document belongs to it. A byte outside the
-    alphabet is OTHER and its byte is charged apart. A text that comes in pieces has one
-    end, and each piece stands after the last DEEPEST symbols of the one before.
+    Words are parted by one gap. ORDER ends stand before the first document and after
+    each; the first end after a document belongs to it. A text that comes in pieces has
+    one end, and each piece stands after the last ORDER bytes of the one before.
     """
-    stop = bytes([_STOP]) * DEEPEST
+    stop = bytes([_STOP]) * ORDER
     tail, done = stop, 0
     for first, data, bounds in slices(documents, SPACED):
         cut = data.tobytes()
@@ -89,9 +72,9 @@ def coded(documents: list[bytes], alphabet: Alphabet) -> Iterator[tuple[np.ndarr
             done += len(cut)
             last = done == len(documents[first])
             low = _single_gaps(tail + b" " + cut + (stop if last else b""))
-            where = np.arange(DEEPEST, len(low) - (DEEPEST - 1 if last else 0))
-            yield first, alphabet.symbol[low], where, np.zeros(len(where), np.int64), alphabet.rest[low[where]]
-            tail, done = (stop, 0) if last else (low[-DEEPEST:].tobytes(), done)
+            where = np.arange(ORDER, len(low) - (ORDER - 1 if last else 0))
+            yield first, low, where, np.zeros(len(where), np.int64)
+            tail, done = (stop, 0) if last else (low[-ORDER:].tobytes(), done)
             continue
         low = _single_gaps(stop + b"".join([cut[a:b] + stop for a, b in zip(bounds[:-1], bounds[1:], strict=True)]))
         ends = low == _STOP
@@ -99,207 +82,193 @@ def coded(documents: list[bytes], alphabet: Alphabet) -> Iterator[tuple[np.ndarr
         counts[1:] |= ends[1:] & ~ends[:-1]
         # an empty document has its end among the stops of the one before
         where = np.flatnonzero(counts)
-        owner = np.cumsum(ends) // DEEPEST - 1
-        owner = np.where(ends, (np.cumsum(ends) - 1) // DEEPEST - 1, owner)
+        owner = np.cumsum(ends) // ORDER - 1
+        owner = np.where(ends, (np.cumsum(ends) - 1) // ORDER - 1, owner)
         empty = np.setdiff1d(np.arange(len(bounds) - 1), owner[where][ends[where]])
         if len(empty):
-            where = np.concatenate([where, np.flatnonzero(ends)[(empty + 1) * DEEPEST]])
-        yield first, alphabet.symbol[low], where, owner[where], alphabet.rest[low[where]]
+            where = np.concatenate([where, np.flatnonzero(ends)[(empty + 1) * ORDER]])
+        yield first, low, where, owner[where]
 
 
-def _grams(symbols: np.ndarray) -> np.ndarray:
-    """Every symbol after its ORDER predecessors."""
-    code = symbols.copy()
+def grams(low: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """The byte at each place and the ORDER before it, the last one lowest."""
+    code = low.astype(np.int64)
     for k in range(1, ORDER + 1):
-        code[k:] += symbols[:-k] << np.int32(_BITS * k)
-    return code
-
-
-def _nodes(symbols: np.ndarray, grams: np.ndarray, tables: list[np.ndarray]) -> Iterator[np.ndarray]:
-    """For each deeper level, the kept context that ends with each symbol, or NONE."""
-    if tables:
-        node = tables[0][grams]
-        yield node
-        for table in tables[1:]:
-            before = np.full(len(node), NONE, np.uint16)
-            before[1:] = node[:-1]
-            at = before.astype(np.int32) << np.int32(_BITS)
-            at += symbols
-            node = table[at]
-            yield node
-
-
-def _byte_counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(256, np.int64)
-    for batch in parts:
-        for first, data, bounds in slices(rows_of(batch), SPACED):
-            total += np.bincount(_LOWER[data], minlength=256)
-    yield pa.RecordBatch.from_arrays([pa.array(range(256), pa.int32()), pa.array(total)], names=["byte", "n"])
-
-
-_LEVEL = SYMBOLS**ORDER
-
-
-def _train(alphabet):
-    """Counts of the training documents' grams, by first symbol, and of their words."""
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SYMBOLS * _LEVEL, np.int32)
-        words: list[np.ndarray] = []
-        size = ends = 0
-
-        def spell() -> pa.RecordBatch:
-            word, n = np.unique(np.concatenate(words), return_counts=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(word.view(np.int64)), pa.nulls(len(word), pa.int32()), pa.nulls(len(word), pa.binary()),
-                 pa.array(n)], names=["word", "slice", "counts", "n"])
-
-        for batch in bounded(parts):
-            documents = rows_of(batch)
-            ends += len(documents)
-            for _, symbols, where, _, _ in coded(documents, alphabet.value):
-                code, n = np.unique(_grams(symbols)[where], return_counts=True)
-                counts[code] += n.astype(np.int32)
-            for hashes, _, _ in doc_words(documents, SPACED):
-                words.append(hashes)
-                size += len(hashes)
-                if size > 1 << 22:
-                    yield spell()
-                    words, size = [], 0
-        if size:
-            yield spell()
-        rows = [(0, None, None, ends)] if ends else []  # the end token's word is 0
-        rows += [(None, k, blob, None) for k, blob in _packed(counts, SYMBOLS)]
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.int64()))],
-                names=["word", "slice", "counts", "n"])
-
-    return run
-
-
-def _deepen(alphabet, tables):
-    """Counts of the symbols after the contexts kept at the deepest level so far."""
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [np.frombuffer(zlib.decompress(t), np.uint16) for t in tables.value]
-        counts = np.zeros((NONE + 1) * SYMBOLS, np.int32)
-        for batch in bounded(parts):
-            for _, symbols, where, _, _ in coded(rows_of(batch), alphabet.value):
-                *_, node = _nodes(symbols, _grams(symbols), known)
-                context = node[where - 1]
-                kept = context != NONE
-                code = (context[kept].astype(np.int32) << np.int32(_BITS)) + symbols[where[kept]]
-                code, n = np.unique(code, return_counts=True)
-                counts[code] += n.astype(np.int32)
-        rows = list(_packed(counts, SYMBOLS))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
-                                              pa.array([r[1] for r in rows], pa.binary())], names=["slice", "counts"])
-
-    return run
-
-
-def _packed(counts: np.ndarray, slices_: int) -> Iterator[tuple[int, bytes]]:
-    for k, own in enumerate(np.split(counts, slices_)):
-        seen = np.flatnonzero(own).astype(np.int32)
-        if len(seen):
-            yield k, zlib.compress(seen.tobytes() + own[seen].tobytes(), 1)
-
-
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    both = np.frombuffer(zlib.decompress(blob), np.int32)
-    return both[: len(both) // 2], both[len(both) // 2 :]
-
-
-def _sum_slices(size: int):
-    def run(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
-        for batch in parts:
-            for blob in batch.column("counts").to_pylist():
-                place, n = _unpacked(blob)
-                total[place] += n
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-                                         names=["slice", "counts"])
-
-    return run
-
-
-def blend(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """P(symbol | context) of one trie level from its counts and the level above.
-
-    A context of n occurrences of q symbols gives each its count over n + q and
-    escapes with q over n + q. After an escape the symbols it has seen are excluded
-    from the shorter context. A context never seen is the shorter one.
+        code[k:] |= low[:-k].astype(np.int64) << (8 * k)
+    return code[where]
+
+
+class _Tally:
+    """Counts of 64-bit keys, given out when they are many."""
+
+    def __init__(self):
+        self.fresh: list[np.ndarray] = []
+        self.size = 0
+        self.keys, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        self.fresh.append(keys)
+        self.size += len(keys)
+        if self.size >= _TALLY:
+            self._fold()
+            if len(self.keys) >= _TALLY:
+                yield from self.rest()
+
+    def _fold(self) -> None:
+        keys, times = np.unique(np.concatenate([np.zeros(0, np.int64), *self.fresh]), return_counts=True)
+        self.fresh, self.size = [], 0
+        keys, times = np.concatenate([self.keys, keys]), np.concatenate([self.times, times])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+        self.keys, self.times = keys[first], np.add.reduceat(times[order], first) if len(first) else times
+
+    def rest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        self._fold()
+        if len(self.keys):
+            yield self.keys, self.times
+        self.keys, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
+def _count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Byte strings of all documents with how often training ones hold them, and training words."""
+    strings, words, ends = _Tally(), _Tally(), 0
+
+    def given(keys, learnt, times, names) -> pa.RecordBatch:
+        none = pa.nulls(len(keys), pa.int64())
+        columns = {"gram": none, "word": none, names: pa.array(keys), "n": pa.array(times * learnt), "times": pa.array(times)}
+        return pa.RecordBatch.from_pydict(columns)
+
+    for batch in bounded(parts):
+        documents = rows_of(batch)
+        learnt = ~np.asarray(batch.column("held_out").to_numpy(zero_copy_only=False), bool)
+        ends += int(learnt.sum())
+        for first, low, where, owner in coded(documents):
+            for keys, times in strings.add(grams(low, where) << 1 | learnt[first + owner]):
+                yield given(keys >> 1, keys & 1, times, "gram")
+        for hashes, _, _ in doc_words([d for d, own in zip(documents, learnt, strict=True) if own], SPACED):
+            for keys, times in words.add(hashes.view(np.int64)):
+                yield given(keys, 1, times, "word")
+    for keys, times in strings.rest():
+        yield given(keys >> 1, keys & 1, times, "gram")
+    for keys, times in words.rest():
+        yield given(keys, 1, times, "word")
+    if ends:
+        yield given(np.zeros(1, np.int64), 1, np.array([ends]), "word")  # the end token's word is 0
+
+
+def _last(code: Column, size: int) -> Column:
+    """The last ``size`` bytes of a byte string."""
+    return code.bitwiseAND(F.lit((1 << 8 * size) - 1))
+
+
+def probabilities(counts: DataFrame) -> DataFrame:
+    """gram, p: how likely its last byte is after the bytes before it, for each row of gram, n.
+
+    A context of N occurrences of q different symbols gives one seen n times the share
+    (2n - 1) / 2N and escapes with q / 2N. After an escape, the symbols it has seen are
+    excluded from the shorter context; where these are all that this one allows, there is
+    no escape and the share is n / N. A context seen less than LEAST times is
+    the shorter one, and below the empty context all 256 byte values are equally likely.
+
+    ``gram`` is unique, n may be 0. A context has 256 symbols at most, so no group grows.
     """
-    n, q = counts.sum(-1, keepdims=True), (counts > 0).sum(-1, keepdims=True)
-    open_ = np.where(counts > 0, 0.0, lower)
-    left = open_.sum(-1, keepdims=True)
-    escape = np.where(left > 0, q, 0)
-    share = np.divide(open_ * escape, left, out=np.zeros_like(open_), where=left > 0)
-    return np.where(n > 0, (counts + share) / np.maximum(n + escape, 1), lower)
-
-
-def _shorter(counts: np.ndarray) -> list[np.ndarray]:
-    """Probabilities of the levels above the deepest, from counts of ORDER symbols."""
-    shape = (SYMBOLS,) * ORDER
-    level = counts.reshape(shape)
-    tables = [level]
-    while tables[-1].ndim > 1:
-        tables.append(tables[-1].sum(0))
-    p = np.full(SYMBOLS, 1.0 / SYMBOLS)
-    for own in reversed(tables):
-        p = blend(own, np.broadcast_to(p, own.shape))
-    return p
-
-
-def _dense(upper):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lower = upper.value
-        for batch in parts:
-            for k, blob in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                counts = np.frombuffer(blob, np.int64).reshape(lower.shape)
-                table = blend(counts, lower).astype(np.float32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([zlib.compress(table.tobytes(), 1)], pa.binary())],
-                    names=["slice", "table"])
-
-    return run
-
-
-def _score(alphabet, model, frequent):
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
-                        ("n_known", pa.int64()), ("sum_known", pa.float64()), ("score", pa.float64()),
-                        ("words", pa.list_(pa.int64())), ("times", pa.list_(pa.int32()))])
-
+    levels = [counts.select("gram", "n")]
+    for size in range(ORDER, 0, -1):
+        shorter = levels[-1].groupBy(_last(F.col("gram"), size).alias("gram")).agg(F.sum("n").alias("n"))
+        levels.append(written(shorter, f"strings_{size}"))
+    found = None
+    for depth, level in enumerate(reversed(levels)):
+        if found is None:
+            rows = level.withColumn("lower", F.lit(1 / 256))
+        else:
+            shorter = found.select(F.col("gram").alias("_short"), F.col("p").alias("lower"))
+            rows = level.join(shorter, _last(F.col("gram"), depth) == F.col("_short")).drop("_short")
+        context = Window.partitionBy(F.shiftright("gram", 8))
+        seen = F.col("n") > 0
+        rows = rows.select(
+            "gram", "n", "lower", F.sum("n").over(context).alias("all"),
+            F.sum(seen.cast("int")).over(context).alias("kinds"),
+            (1 - F.sum(F.when(seen, F.col("lower")).otherwise(0.0)).over(context)).alias("open"))
+        shut = F.col("open") < 1e-12
+        share = F.when(seen & shut, F.col("n") / F.col("all")).when(
+            seen, (2 * F.col("n") - 1) / (2 * F.col("all"))).otherwise(
+            F.col("kinds") / (2 * F.col("all")) * F.col("lower") / F.greatest("open", "lower", F.lit(1e-300)))
+        known = F.col("all") >= (LEAST if depth else 1)
+        found = written(rows.select("gram", F.when(known, share).otherwise(F.col("lower")).alias("p")), f"level_{depth}")
+    return found
+
+
+def _commonest(strings: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The byte strings that occur most, _SENT at most, in order, and log10 of their p."""
+    grade = F.floor(F.log2("times") * 16)
+    sizes = strings.groupBy(grade.alias("grade")).count().orderBy(F.desc("grade")).collect()  # 16 a power of two
+    least, total = None, 0
+    for row in sizes:
+        total += row["count"]
+        if total > _SENT:
+            break
+        least = row["grade"]
+    if least is None:
+        return np.zeros(0, np.int64), np.zeros(0)
+    rows = strings.filter(grade >= least).select("gram", F.log10("p").alias("bits")).toArrow()
+    code, bits = rows["gram"].to_numpy(), rows["bits"].to_numpy()
+    order = np.argsort(code)
+    return code[order], bits[order]
+
+
+def _looked_up(keys: np.ndarray, known: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are known, and their values, 0 for others."""
+    if not len(known):
+        return np.zeros(len(keys), bool), np.zeros(len(keys))
+    place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    sure = known[place] == keys
+    return sure, np.where(sure, value[place], 0.0)
+
+
+def _lists(owner: np.ndarray, keys: np.ndarray, documents: int) -> tuple[pa.Array, pa.Array]:
+    """Each document's keys, each once, and how often it has them."""
+    order = np.lexsort((keys, owner))
+    owner, keys = owner[order], keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = (owner[1:] != owner[:-1]) | (keys[1:] != keys[:-1])
+    first = np.flatnonzero(fresh)
+    times = np.diff(np.append(first, len(keys))).astype(np.int32)
+    offsets = pa.array(np.searchsorted(owner[first], np.arange(documents + 1)).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(keys[first])), pa.ListArray.from_arrays(offsets, pa.array(times))
+
+
+def _score(strings, frequent):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, logs = _tables(model.value)
-        known, value, end_value = frequent.value
+        (codes, bits), (known, value, end_value) = strings.value, frequent.value
         number = TaskContext.get().partitionId() << 36
         for batch in bounded(parts):
-            ids, documents = batch.column("doc_id").to_pylist(), rows_of(batch)
-            score = np.zeros(len(ids))
-            for first, symbols, where, owner, extra in coded(documents, alphabet.value):
-                grams = _grams(symbols)
-                bits = logs[0][grams[where]]
-                for node, table in zip(_nodes(symbols, grams, tables), logs[1:], strict=True):
-                    context = node[where - 1]
-                    kept = np.flatnonzero(context != NONE)
-                    bits[kept] = table[(context[kept].astype(np.int32) << np.int32(_BITS)) + symbols[where[kept]]]
-                sums = np.bincount(owner, bits + extra)
+            documents = rows_of(batch)
+            size = len(documents)
+            score, base, found, tokens = np.zeros(size), np.zeros(size), np.zeros(size, np.int64), np.ones(size, np.int64)
+            rare, words = [(np.zeros(0, np.int64),) * 2], [(np.zeros(0, np.int64),) * 2]
+            for first, low, where, owner in coded(documents):
+                unique, back = np.unique(grams(low, where), return_inverse=True)
+                sure, own = _looked_up(unique, codes, bits)
+                sums = np.bincount(owner, own[back])
                 score[first : first + len(sums)] += sums
-            out = []
-            for doc_id, own, (hashes, _, _) in zip(ids, score, doc_words(documents, SPACED), strict=True):
-                words, times = np.unique(hashes.view(np.int64), return_counts=True)
-                place = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
-                sure = known[place] == words if len(known) else np.zeros(len(words), bool)
-                out.append((number, doc_id, not is_training(doc_id), len(hashes) + 1,
-                            int(times[sure].sum()) + (end_value is not None),
-                            float((times[sure] * value[place[sure]]).sum()) + (end_value or 0.0), own,
-                            words[~sure].tolist(), times[~sure].tolist()))
-                number += 1
+                left = np.flatnonzero(~sure[back])
+                rare.append((first + owner[left], unique[back[left]]))
+            for i, (hashes, _, _) in enumerate(doc_words(documents, SPACED)):
+                keys = hashes.view(np.int64)
+                sure, own = _looked_up(keys, known, value)
+                tokens[i] += len(keys)
+                found[i] = sure.sum() + (end_value is not None)
+                base[i] = own.sum() + (end_value or 0.0)
+                words.append((np.full(len(keys) - int(sure.sum()), i), keys[~sure]))
+            rare = _lists(*(np.concatenate(x) for x in zip(*rare, strict=True)), size)
+            words = _lists(*(np.concatenate(x) for x in zip(*words, strict=True)), size)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
+                [pa.array(np.arange(number, number + size)), batch.column("doc_id"), batch.column("held_out"),
+                 pa.array(tokens), pa.array(found), pa.array(base), pa.array(score), *words, *rare],
+                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "sum_known", "score", "words", "times",
+                       "grams", "gram_times"])
+            number += size
 
     return run
 
@@ -311,112 +280,48 @@ def score(docs: DataFrame) -> DataFrame:
     and ends; the other codes the words, parted by single blanks and closed by an end,
     byte by byte. A NULL or empty text is the end alone. Rows that repeat an id are
     scored each by itself. With nothing to learn from, every token is unknown and all
-    symbols are equally likely. A text over a megabyte is coded in pieces that carry
+    bytes are equally likely. A text over a megabyte is coded in pieces that carry
     their context on, with one end.
+
+    What is common is looked up where the text is; all other words and byte strings
+    are joined with their tables, so the result does not depend on what is sent.
     """
-    spark = docs.sparkSession
-    context = spark.sparkContext
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    context = docs.sparkSession.sparkContext
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(HELD_OUT[0])) == HELD_OUT[1]
-    training = docs.filter(~F.coalesce(held, F.lit(False)))
-    bytes_seen = training.select("text").mapInArrow(_byte_counts, "byte int, n bigint").groupBy("byte").agg(
-        F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(256, np.int64)
-    counts[bytes_seen["byte"].to_numpy()] = bytes_seen["n"].to_numpy()
-    alphabet = context.broadcast(Alphabet(counts))
-
-    learnt = written(training.mapInArrow(_train(alphabet), "word bigint, slice int, counts binary, n bigint"), "learnt")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn(
+        "held_out", F.coalesce(held, F.lit(False)))
+    learnt = written(docs.select("held_out", "text").mapInArrow(
+        _count, "gram bigint, word bigint, n bigint, times bigint"), "learnt")
+    counts = written(learnt.filter("gram is not null").groupBy("gram").agg(
+        F.sum("n").alias("n"), F.sum("times").alias("times")), "strings")
+    strings = written(counts.select("gram", "times").join(probabilities(counts), "gram"), "scores")
     vocabulary = written(learnt.filter("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     scale = float(total + distinct + 1)
-    model = _model(training, alphabet, learnt.filter("slice is not null"), context)
     often = vocabulary.filter(F.col("c") * _SPREAD > total).orderBy("word").toArrow()  # under _SPREAD rows
     value = np.log10((often["c"].to_numpy() + 1) / scale)
     word = often["word"].to_numpy()
-    end = value[word == 0]
-    if not len(end):
-        found = vocabulary.filter("word = 0").first()
-        end = [np.log10((found["c"] + 1) / scale)] if found else []
-    frequent = context.broadcast((word, value, float(end[0]) if len(end) else None))
-    rows = docs.mapInArrow(
-        _score(alphabet, model, frequent),
+    found = vocabulary.filter("word = 0").first()
+    frequent = context.broadcast((word, value, float(np.log10((found["c"] + 1) / scale)) if found else None))
+    rows = written(docs.mapInArrow(
+        _score(context.broadcast(_commonest(strings)), frequent),
         "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, sum_known double, score double,"
-        " words array<bigint>, times array<int>")
-    rows = written(rows, "scored")
-    rare = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
-        "row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    met = rare.join(vocabulary, "word").groupBy("row").agg(
-        F.sum("times").alias("rare"), F.sum(F.col("times") * F.log10((F.col("c") + 1) / scale)).alias("rare_sum"))
+        " words array<bigint>, times array<int>, grams array<bigint>, gram_times array<int>"), "scored")
+
+    def rest(keys: str, times: str) -> DataFrame:
+        return rows.select("row", F.explode(F.arrays_zip(F.col(keys).alias("key"), F.col(times).alias("by"))).alias("w")).select(
+            "row", "w.key", "w.by")
+
     none = F.lit(0).cast("bigint")
+    met = rest("words", "times").join(vocabulary, F.col("key") == F.col("word")).select(
+        "row", F.col("by").cast("bigint").alias("rare"),
+        (F.col("by") * F.log10((F.col("c") + 1) / scale)).alias("rare_sum"), F.lit(0.0).alias("bits"))
+    met = met.unionByName(rest("grams", "gram_times").join(strings, F.col("key") == F.col("gram")).select(
+        "row", none.alias("rare"), F.lit(0.0).alias("rare_sum"), (F.col("by") * F.log10("p")).alias("bits")))
+    met = met.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("rare", "rare_sum", "bits")))
     known = F.col("n_known") + F.coalesce("rare", none)
-    return rows.drop("words", "times").join(met, "row", "left").select(
+    return rows.drop("words", "times", "grams", "gram_times").join(met, "row", "left").select(
         "doc_id", "held_out", "n_tokens", known.alias("n_known"), F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("sum_known") + F.coalesce("rare_sum", F.lit(0.0))
-         + (F.col("n_tokens") - known) * float(np.log10(1 / scale))).alias("base_score"), "score")
-
-
-def _model(training: DataFrame, alphabet, counts: DataFrame, context):
-    """Tables that lead from context to context, and log10 P after the contexts of each level."""
-    levels = written(counts.groupBy("slice").applyInArrow(_sum_slices(_LEVEL), "slice int, counts binary"), "levels")
-    total = np.zeros(_LEVEL, np.int64)
-    deep = np.zeros((SYMBOLS, _LEVEL), np.int64)
-    for row in levels.toLocalIterator():  # at most SYMBOLS rows of a fixed size
-        deep[row["slice"]] = np.frombuffer(row["counts"], np.int64)
-        total += deep[row["slice"]]
-    upper = _shorter(total).reshape((SYMBOLS,) * ORDER)
-    sent = context.broadcast(upper)
-    unseen = upper.astype(np.float32).ravel()
-    dense = np.empty((SYMBOLS, _LEVEL), np.float32)
-    dense[:] = unseen
-    for row in levels.mapInArrow(_dense(sent), "slice int, table binary").toLocalIterator():
-        dense[row["slice"]] = np.frombuffer(zlib.decompress(row["table"]), np.float32)
-    least = max(2, -(-int(total.sum()) // NONE))
-    # a kept context is known by the code of its gram one level up, and by that of its last symbols
-    lower, tables, logs = dense.reshape(-1, SYMBOLS), [], [np.log10(dense).ravel()]
-    grams = deep.ravel()
-    suffix_of = lambda code: code % _LEVEL
-    del deep
-    for _ in range(ORDER, DEEPEST):
-        kept = np.flatnonzero(grams >= least)[:NONE]
-        table = np.full(max(len(grams), 1), NONE, np.uint16)
-        table[kept] = np.arange(len(kept))
-        tables.append(table)
-        rows = suffix_of(kept)
-        sent = context.broadcast([zlib.compress(t.tobytes(), 1) for t in tables])
-        found = written(training.select("text").mapInArrow(
-            _deepen(alphabet, sent), "slice int, counts binary").groupBy("slice").applyInArrow(
-            _sum_slices(NONE + 1), "slice int, counts binary"), "deeper")
-        sent.destroy()
-        grams = np.zeros((SYMBOLS, NONE + 1), np.int64)
-        for row in found.toLocalIterator():
-            grams[row["slice"]] = np.frombuffer(row["counts"], np.int64)
-        grams = grams.ravel()
-        own = grams.reshape(-1, SYMBOLS)[: len(kept)]
-        probable = blend(own, lower[rows].astype(np.float64)).astype(np.float32)
-        full = np.ones((NONE + 1, SYMBOLS), np.float32)
-        full[: len(kept)] = probable
-        logs.append(np.log10(full).ravel())
-        # the next level's context (a kept one and a symbol) stands for the kept context
-        # of its suffix: the table of this level read at that suffix and symbol
-        rows_now, table_now = rows, table
-
-        def suffix_of(code, rows_now=rows_now, table_now=table_now):
-            return table_now[rows_now[code // SYMBOLS] * SYMBOLS + code % SYMBOLS].astype(np.int64)
-
-        lower = probable
-    packed = [zlib.compress(t.tobytes(), 1) for t in (*tables, *logs)]
-    return context.broadcast(packed)
-
-
-_UNPACKED: dict[int, tuple] = {}
-
-
-def _tables(packed: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """The model's tables, unpacked once per worker process."""
-    key = hash(packed[-1])
-    if key not in _UNPACKED:
-        _UNPACKED.clear()
-        flat = [zlib.decompress(p) for p in packed]
-        _UNPACKED[key] = ([np.frombuffer(f, np.uint16) for f in flat[: DEEPEST - ORDER]],
-                          [np.frombuffer(f, np.float32) for f in flat[DEEPEST - ORDER :]])
-    return _UNPACKED[key]
+         + (F.col("n_tokens") - known) * float(np.log10(1 / scale))).alias("base_score"),
+        (F.col("score") + F.coalesce("bits", F.lit(0.0))).alias("score"))

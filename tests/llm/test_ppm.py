@@ -1,7 +1,7 @@
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -15,60 +15,42 @@ def words_of(text):
 
 
 def brute(rows):
-    """Base and model scores by direct counting, a symbol at a time."""
+    """Base and model scores by direct counting, a byte at a time."""
     train = [t for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
     count = Counter(w for t in train for w in [*words_of(t), None])
     total, scale = sum(count.values()), sum(count.values()) + len(count) + 1
-    seen = Counter(b for t in train for w in words_of(t) for b in w)
-    order = sorted(seen, key=lambda b: (-seen[b], b))[: ppm.SYMBOLS - 3]
-    symbol = {b: k + 3 for k, b in enumerate(order)}
-    rest = sum(seen[b] + 1 for b in range(256) if b not in symbol and b not in (32, 255))
 
     def coded(text):
-        out, extra = [], 0.0
-        for k, w in enumerate(words_of(text)):
-            out += [2] * (k > 0) + [symbol.get(b, 0) for b in w]
-            extra += sum(math.log10((seen[b] + 1) / rest) for b in w if b not in symbol)
-        return [*out, 1], extra
+        return b"\xff" * 6 + b" ".join(words_of(text)) + b"\xff"
 
-    grams = Counter()
+    seen = defaultdict(Counter)
     for t in train:
-        s = [1] * ppm.DEEPEST + coded(t)[0]
-        for i in range(ppm.DEEPEST, len(s)):
-            for k in range(ppm.DEEPEST + 1):
-                grams[tuple(s[i - k:i + 1])] += 1
-    places = sum(n for g, n in grams.items() if len(g) == 1)
-    least = max(2, -(-places // ppm.NONE))
+        s = coded(t)
+        for i in range(6, len(s)):
+            for k in range(7):
+                seen[s[i - k : i]][s[i]] += 1
     memory = {}
 
     def spread(context):
-        if context in memory:
-            return memory[context]
-        lower = spread(context[1:]) if context else np.full(ppm.SYMBOLS, 1 / ppm.SYMBOLS)
-        own = np.array([grams[(*context, s)] for s in range(ppm.SYMBOLS)], float)
-        kept = len(context) <= ppm.ORDER or grams[context] >= least
-        memory[context] = lower
-        if own.sum() and kept:
-            q = (own > 0).sum()
-            open_ = np.where(own > 0, 0, lower)
-            memory[context] = ((own + q * open_ / open_.sum()) / (own.sum() + q)) if open_.sum() else own / own.sum()
+        if context not in memory:
+            lower = spread(context[1:]) if context else np.full(256, 1 / 256)
+            own = np.array([seen[context][s] for s in range(256)], float) if context in seen else np.zeros(256)
+            n, q = own.sum(), (own > 0).sum()
+            left = lower[own == 0].sum()
+            memory[context] = lower
+            if n >= (2 if context else 1):
+                memory[context] = np.where(own > 0, (2 * own - 1) / (2 * n), q / (2 * n) * lower / left) if left else own / n
         return memory[context]
 
     out = []
     for i, t in rows:
-        s, score = coded(t)
-        s = [1] * ppm.DEEPEST + s
-        for k in range(ppm.DEEPEST, len(s)):
-            # a context counts as kept only if those it grows from are
-            depth = ppm.ORDER
-            while depth < ppm.DEEPEST and all(
-                    grams[tuple(s[k - depth - 1:k - depth - 1 + n])] >= least for n in range(ppm.ORDER + 1, depth + 2)):
-                depth += 1
-            score += math.log10(spread(tuple(s[k - depth:k]))[s[k]])
+        s = coded(t)
+        score = sum(math.log10(spread(s[k - 6 : k])[s[k]]) for k in range(6, len(s)))
         w = [*words_of(t), None]
         held = i is not None and zlib.crc32(str(i).encode()) % 7 == 2
         out.append((i, held, len(w), sum(count[x] > 0 for x in w), total,
                     sum(math.log10((count[x] + 1) / scale) for x in w), score))
+    assert all(abs(p.sum() - 1) < 1e-9 for p in memory.values())
     return out
 
 
@@ -77,13 +59,24 @@ def made(rng):
     return rows + [(10 + i, sentence(rng, rng.choice([1, 30, 200])) + rng.choice(["", ".", "\n"])) for i in range(80)]
 
 
-def test_matches_brute_force(spark, documents, rng):
+@pytest.mark.parametrize("sent", [1 << 21, 200, 0])
+def test_matches_brute_force(spark, documents, rng, monkeypatch, sent):
+    monkeypatch.setattr(ppm, "_SENT", sent)
     rows = made(rng)
     got = ppm.score(documents(rows).selectExpr("*", "1 as row", "2 as word", "3 as times").repartition(4)).collect()
     assert len(got) == len(rows)
     for a, b in zip(sorted(map(tuple, got), key=str), sorted(brute(rows), key=str), strict=True):
         assert a[:5] == b[:5]
-        assert a[5:] == pytest.approx(b[5:], rel=1e-4)
+        assert a[5:] == pytest.approx(b[5:], rel=1e-9)
+
+
+def test_text_over_a_megabyte(spark, documents, rng):
+    rows = [(1, " ".join(sentence(rng, 2000) for _ in range(130))), (2, "a b"), (10, sentence(rng, 50))]
+    assert len(rows[0][1]) > 1 << 20
+    got = ppm.score(documents(rows)).collect()
+    for a, b in zip(sorted(map(tuple, got)), sorted(brute(rows)), strict=True):
+        assert a[:5] == b[:5]
+        assert a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
 def test_held_out_texts_cost_less_than_even_odds(spark, documents, rng):
@@ -94,12 +87,6 @@ def test_held_out_texts_cost_less_than_even_odds(spark, documents, rng):
     assert len(got) > 20 and sum(r.score for r in got) > -0.4 * size
 
 
-def test_probabilities_sum_to_one(rng):
-    counts = np.array([[rng.choice([0, 0, 1, 9]) for _ in range(8)] for _ in range(50)] + [[0] * 8, [1] * 8])
-    lower = np.full(counts.shape, 1 / 8)
-    assert np.allclose(ppm.blend(counts, lower).sum(-1), 1)
-
-
 def test_nothing_to_learn_from(spark, documents):
     assert ppm.score(documents([])).count() == 0
     held = next(i for i in range(100) if not ppm.is_training(i))
@@ -110,14 +97,12 @@ def test_nothing_to_learn_from(spark, documents):
 def test_pieces_of_a_long_text_are_coded_as_the_whole(monkeypatch, rng):
     texts = [sentence(rng, 200).encode(), b"", b" ", b"  lead " + sentence(rng, 90).encode() + b"  \n ", b" " * 300,
              b"a" + b" " * 200 + b"b", b"short one", b"x" * 500, " ".join("\u00e9t\u00e9" for _ in range(60)).encode()]
-    counts = np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256)
-    alphabet = ppm.Alphabet(counts)
 
     def steps():
         out = {k: [] for k in range(len(texts))}
-        for first, symbols, where, owner, extra in ppm.coded(texts, alphabet):
-            for w, k, e in zip(where.tolist(), owner.tolist(), extra.tolist(), strict=True):
-                out[first + k].append((tuple(symbols[w - ppm.DEEPEST : w + 1].tolist()), e))
+        for first, low, where, owner in ppm.coded(texts):
+            for code, k in zip(ppm.grams(low, where).tolist(), owner.tolist(), strict=True):
+                out[first + k].append(code)
         return out
 
     whole = steps()

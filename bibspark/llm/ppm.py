@@ -27,7 +27,9 @@ HELD_OUT = (7, 2)  # a document is held out where crc32(doc_id) modulo the first
 _STOP = 0xFF  # in no UTF-8 text
 _SENT = 1 << 21  # at most so many of the commonest byte strings are sent to all tasks; the rest is joined
 _SPREAD = 1 << 18  # words so frequent that at most this many can be are sent to all tasks
-_TALLY = 1 << 21  # keys that a task holds before it counts them
+_FRESH = 1 << 19  # keys that a task holds before it counts them
+_TALLY = 1 << 21  # keys that a task counts before it gives them out
+_ROWS = 1 << 16  # of a batch given out
 
 
 def is_training(doc_id: int | None, rule: tuple[int, int] = HELD_OUT) -> bool:
@@ -104,12 +106,12 @@ class _Tally:
     def __init__(self):
         self.fresh: list[np.ndarray] = []
         self.size = 0
-        self.keys, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.times = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def add(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         self.fresh.append(keys)
         self.size += len(keys)
-        if self.size >= _TALLY:
+        if self.size >= _FRESH:
             self._fold()
             if len(self.keys) >= _TALLY:
                 yield from self.rest()
@@ -117,7 +119,8 @@ class _Tally:
     def _fold(self) -> None:
         keys, times = np.unique(np.concatenate([np.zeros(0, np.int64), *self.fresh]), return_counts=True)
         self.fresh, self.size = [], 0
-        keys, times = np.concatenate([self.keys, keys]), np.concatenate([self.times, times])
+        keys = np.concatenate([self.keys, keys])
+        times = np.concatenate([self.times, times.astype(np.int32)])
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
         first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
@@ -125,19 +128,19 @@ class _Tally:
 
     def rest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         self._fold()
-        if len(self.keys):
-            yield self.keys, self.times
-        self.keys, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for at in range(0, len(self.keys), _ROWS):
+            yield self.keys[at : at + _ROWS], self.times[at : at + _ROWS].astype(np.int64)
+        self.keys, self.times = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
 
 def _count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Byte strings of all documents with how often training ones hold them, and training words."""
     strings, words, ends = _Tally(), _Tally(), 0
 
-    def given(keys, learnt, times, names) -> pa.RecordBatch:
-        none = pa.nulls(len(keys), pa.int64())
-        columns = {"gram": none, "word": none, names: pa.array(keys), "n": pa.array(times * learnt), "times": pa.array(times)}
-        return pa.RecordBatch.from_pydict(columns)
+    def given(keys, learnt, times, word: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(keys), word)), pa.array(keys), pa.array(times * learnt), pa.array(times)],
+            names=["is_word", "key", "n", "times"])
 
     for batch in bounded(parts):
         documents = rows_of(batch)
@@ -145,16 +148,16 @@ def _count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends += int(learnt.sum())
         for first, low, where, owner in coded(documents):
             for keys, times in strings.add(grams(low, where) << 1 | learnt[first + owner]):
-                yield given(keys >> 1, keys & 1, times, "gram")
+                yield given(keys >> 1, keys & 1, times, False)
         for hashes, _, _ in doc_words([d for d, own in zip(documents, learnt, strict=True) if own], SPACED):
             for keys, times in words.add(hashes.view(np.int64)):
-                yield given(keys, 1, times, "word")
+                yield given(keys, 1, times, True)
     for keys, times in strings.rest():
-        yield given(keys >> 1, keys & 1, times, "gram")
+        yield given(keys >> 1, keys & 1, times, False)
     for keys, times in words.rest():
-        yield given(keys, 1, times, "word")
+        yield given(keys, 1, times, True)
     if ends:
-        yield given(np.zeros(1, np.int64), 1, np.array([ends]), "word")  # the end token's word is 0
+        yield given(np.zeros(1, np.int64), 1, np.array([ends]), True)  # the end token's word is 0
 
 
 def _last(code: Column, size: int) -> Column:
@@ -163,7 +166,7 @@ def _last(code: Column, size: int) -> Column:
 
 
 def probabilities(counts: DataFrame) -> DataFrame:
-    """gram, p: how likely its last byte is after the bytes before it, for each row of gram, n.
+    """``counts`` (gram, n, any more) without n, and p: how likely the last byte of gram is after those before it.
 
     A context of N occurrences of q different symbols gives one seen n times the share
     (2n - 1) / 2N and escapes with q / 2N. After an escape, the symbols it has seen are
@@ -173,7 +176,7 @@ def probabilities(counts: DataFrame) -> DataFrame:
 
     ``gram`` is unique, n may be 0. A context has 256 symbols at most, so no group grows.
     """
-    levels = [counts.select("gram", "n")]
+    levels = [counts]
     for size in range(ORDER, 0, -1):
         shorter = levels[-1].groupBy(_last(F.col("gram"), size).alias("gram")).agg(F.sum("n").alias("n"))
         levels.append(written(shorter, f"strings_{size}"))
@@ -186,8 +189,9 @@ def probabilities(counts: DataFrame) -> DataFrame:
             rows = level.join(shorter, _last(F.col("gram"), depth) == F.col("_short")).drop("_short")
         context = Window.partitionBy(F.shiftright("gram", 8))
         seen = F.col("n") > 0
+        more = [c for c in level.columns if c not in ("gram", "n")]
         rows = rows.select(
-            "gram", "n", "lower", F.sum("n").over(context).alias("all"),
+            "gram", "n", "lower", *more, F.sum("n").over(context).alias("all"),
             F.sum(seen.cast("int")).over(context).alias("kinds"),
             (1 - F.sum(F.when(seen, F.col("lower")).otherwise(0.0)).over(context)).alias("open"))
         shut = F.col("open") < 1e-12
@@ -195,7 +199,7 @@ def probabilities(counts: DataFrame) -> DataFrame:
             seen, (2 * F.col("n") - 1) / (2 * F.col("all"))).otherwise(
             F.col("kinds") / (2 * F.col("all")) * F.col("lower") / F.greatest("open", "lower", F.lit(1e-300)))
         known = F.col("all") >= (LEAST if depth else 1)
-        found = written(rows.select("gram", F.when(known, share).otherwise(F.col("lower")).alias("p")), f"level_{depth}")
+        found = written(rows.select("gram", *more, F.when(known, share).otherwise(F.col("lower")).alias("p")), f"level_{depth}")
     return found
 
 
@@ -291,11 +295,11 @@ def score(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn(
         "held_out", F.coalesce(held, F.lit(False)))
     learnt = written(docs.select("held_out", "text").mapInArrow(
-        _count, "gram bigint, word bigint, n bigint, times bigint"), "learnt")
-    counts = written(learnt.filter("gram is not null").groupBy("gram").agg(
-        F.sum("n").alias("n"), F.sum("times").alias("times")), "strings")
-    strings = written(counts.select("gram", "times").join(probabilities(counts), "gram"), "scores")
-    vocabulary = written(learnt.filter("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
+        _count, "is_word boolean, key bigint, n bigint, times bigint"), "learnt")
+    strings = probabilities(written(learnt.filter("not is_word").groupBy(F.col("key").alias("gram")).agg(
+        F.sum("n").alias("n"), F.sum("times").alias("times")), "strings"))
+    vocabulary = written(learnt.filter("is_word").groupBy(F.col("key").alias("word")).agg(
+        F.sum("n").alias("c")), "vocabulary")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     scale = float(total + distinct + 1)
     often = vocabulary.filter(F.col("c") * _SPREAD > total).orderBy("word").toArrow()  # under _SPREAD rows

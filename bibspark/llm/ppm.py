@@ -28,7 +28,7 @@ _STOP = 0xFF  # in no UTF-8 text
 _SENT = 1 << 21  # at most so many of the commonest byte strings are sent to all tasks; the rest is joined
 _SPREAD = 1 << 18  # words so frequent that at most this many can be are sent to all tasks
 _FRESH = 1 << 19  # keys that a task holds before it counts them
-_TALLY = 1 << 21  # keys that a task counts before it gives them out
+_TALLY = 3 << 20  # keys that a task counts before it gives them out
 _ROWS = 1 << 16  # of a batch given out
 
 
@@ -101,15 +101,18 @@ def grams(low: np.ndarray, where: np.ndarray) -> np.ndarray:
 
 
 class _Tally:
-    """Counts of 64-bit keys, given out when they are many."""
+    """Counts of keys, in training documents and in all, given out when they are many."""
 
-    def __init__(self):
-        self.fresh: list[np.ndarray] = []
-        self.size = 0
-        self.keys, self.times = np.zeros(0, np.int64), np.zeros(0, np.int32)
+    def __init__(self, word: bool):
+        self.word, self.fresh, self.size = word, [], 0
+        self._clear()
 
-    def add(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        self.fresh.append(keys)
+    def _clear(self) -> None:
+        self.keys, self.n, self.times = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def add(self, keys: np.ndarray, learnt: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        """Keys of one step; without ``learnt``, all are of training documents."""
+        self.fresh.append(keys << 1 | learnt if learnt is not None else keys)
         self.size += len(keys)
         if self.size >= _FRESH:
             self._fold()
@@ -119,45 +122,48 @@ class _Tally:
     def _fold(self) -> None:
         keys, times = np.unique(np.concatenate([np.zeros(0, np.int64), *self.fresh]), return_counts=True)
         self.fresh, self.size = [], 0
+        times = times.astype(np.int32)
+        n = times
+        if not self.word:
+            n, keys = times * (keys & 1).astype(np.int32), keys >> 1
         keys = np.concatenate([self.keys, keys])
-        times = np.concatenate([self.times, times.astype(np.int32)])
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
-        first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
-        self.keys, self.times = keys[first], np.add.reduceat(times[order], first) if len(first) else times
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        n, times = np.concatenate([self.n, n])[order], np.concatenate([self.times, times])[order]
+        if len(first):
+            keys, n, times = keys[first], np.add.reduceat(n, first), np.add.reduceat(times, first)
+        self.keys, self.n, self.times = keys, n, times
 
-    def rest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def rest(self) -> Iterator[pa.RecordBatch]:
         self._fold()
         for at in range(0, len(self.keys), _ROWS):
-            yield self.keys[at : at + _ROWS], self.times[at : at + _ROWS].astype(np.int64)
-        self.keys, self.times = np.zeros(0, np.int64), np.zeros(0, np.int32)
+            here = slice(at, at + _ROWS)
+            yield _counted(self.word, self.keys[here], self.n[here], self.times[here])
+        self._clear()
 
 
-def _count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Byte strings of all documents with how often training ones hold them, and training words."""
-    strings, words, ends = _Tally(), _Tally(), 0
+def _counted(word: bool, keys: np.ndarray, n: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(keys), word)), pa.array(keys), pa.array(n.astype(np.int64)), pa.array(times.astype(np.int64))],
+        names=["is_word", "key", "n", "times"])
 
-    def given(keys, learnt, times, word: bool) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(keys), word)), pa.array(keys), pa.array(times * learnt), pa.array(times)],
-            names=["is_word", "key", "n", "times"])
 
+def _count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Byte strings of all documents with how often training ones hold them, and training words."""
+    strings, words, ends = _Tally(False), _Tally(True), 0
     for batch in bounded(parts):
         documents = rows_of(batch)
         learnt = ~np.asarray(batch.column("held_out").to_numpy(zero_copy_only=False), bool)
         ends += int(learnt.sum())
         for first, low, where, owner in coded(documents):
-            for keys, times in strings.add(grams(low, where) << 1 | learnt[first + owner]):
-                yield given(keys >> 1, keys & 1, times, False)
+            yield from strings.add(grams(low, where), learnt[first + owner])
         for hashes, _, _ in doc_words([d for d, own in zip(documents, learnt, strict=True) if own], SPACED):
-            for keys, times in words.add(hashes.view(np.int64)):
-                yield given(keys, 1, times, True)
-    for keys, times in strings.rest():
-        yield given(keys >> 1, keys & 1, times, False)
-    for keys, times in words.rest():
-        yield given(keys, 1, times, True)
+            yield from words.add(hashes.view(np.int64))
+    yield from strings.rest()
+    yield from words.rest()
     if ends:
-        yield given(np.zeros(1, np.int64), 1, np.array([ends]), True)  # the end token's word is 0
+        yield _counted(True, np.zeros(1, np.int64), np.array([ends]), np.array([ends]))  # the end token's word is 0
 
 
 def _last(code: Column, size: int) -> Column:
@@ -294,12 +300,12 @@ def score(docs: DataFrame) -> DataFrame:
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(HELD_OUT[0])) == HELD_OUT[1]
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn(
         "held_out", F.coalesce(held, F.lit(False)))
-    learnt = written(docs.select("held_out", "text").mapInArrow(
-        _count, "is_word boolean, key bigint, n bigint, times bigint"), "learnt")
-    strings = probabilities(written(learnt.filter("not is_word").groupBy(F.col("key").alias("gram")).agg(
-        F.sum("n").alias("n"), F.sum("times").alias("times")), "strings"))
-    vocabulary = written(learnt.filter("is_word").groupBy(F.col("key").alias("word")).agg(
-        F.sum("n").alias("c")), "vocabulary")
+    # tasks give every key once or a few times, so rows go to their key without another sum before
+    counts = docs.select("held_out", "text").mapInArrow(_count, "is_word boolean, key bigint, n bigint, times bigint")
+    counts = written(counts.repartition("is_word", "key").groupBy("is_word", "key").agg(
+        F.sum("n").alias("n"), F.sum("times").alias("times")), "counts")
+    strings = probabilities(counts.filter("not is_word").select(F.col("key").alias("gram"), "n", "times"))
+    vocabulary = counts.filter("is_word").select(F.col("key").alias("word"), F.col("n").alias("c"))
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     scale = float(total + distinct + 1)
     often = vocabulary.filter(F.col("c") * _SPREAD > total).orderBy("word").toArrow()  # under _SPREAD rows

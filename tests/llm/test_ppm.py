@@ -110,3 +110,28 @@ def test_pieces_of_a_long_text_are_coded_as_the_whole(monkeypatch, rng):
         monkeypatch.setattr(words, "_SLICE", size)
         assert steps() == whole
     assert [len(whole[k]) for k in (1, 2, 4, 5)] == [1, 1, 1, 4]
+
+
+@pytest.mark.parametrize("word", [True, False])
+def test_counts_that_are_given_out_in_parts_add_up(monkeypatch, rng, word):
+    monkeypatch.setattr(ppm, "_FRESH", 50)
+    monkeypatch.setattr(ppm, "_TALLY", 120)
+    monkeypatch.setattr(ppm, "_ROWS", 32)
+    tally, batches, want = ppm._Tally(word), [], Counter()
+    for _ in range(40):
+        keys = [rng.randrange(-300 if word else 0, 300) for _ in range(rng.randrange(40))]
+        learnt = [word or rng.random() < 0.7 for _ in keys]
+        for k, own in zip(keys, learnt, strict=True):
+            want[k, "n"] += own
+            want[k, "times"] += 1
+        given = () if word else (np.array(learnt, bool),)
+        batches += tally.add(np.array(keys, np.int64), *given)
+    assert len(batches) > 3
+    got = Counter()
+    for batch in [*batches, *tally.rest(), *tally.rest()]:
+        assert 0 < len(batch) <= 32
+        for r in batch.to_pylist():
+            assert r["is_word"] == word
+            got[r["key"], "n"] += r["n"]
+            got[r["key"], "times"] += r["times"]
+    assert +got == +want

@@ -28,7 +28,8 @@ _LANDED: dict[tuple[str, str, str], str] = {}
 
 def landed(build):
     """Write the derived input to the shared folder, once per session and table
-    folder, and read it from there: the operators start from landed files."""
+    folder, and read it from there. For inputs of which many rows become one; an input
+    that has a row for each source row is computed where it is read."""
 
     @wraps(build)
     def read(spark: SparkSession, sf: str) -> DataFrame:
@@ -42,10 +43,21 @@ def landed(build):
     return read
 
 
+LINES_PER_TASK = 400_000
+
+
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem")
 
 
+def _dealt(lines: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """Line items, joined to what their cells are made of, dealt out evenly before they grow:
+    a cell of JSON is many times the size of its line, so the narrow rows move, and no cell
+    is shuffled or stored."""
+    tasks = max(spark.sparkContext.defaultParallelism, -(-_lines(spark, sf).count() // LINES_PER_TASK))
+    return lines.repartition(tasks, *LINE_ORDER)
+
+
 # The shape of a raw DOI: four that are valid, two that are not, one missing.
 RAW_DOI = """
 case o_orderkey % 7
@@ -76,14 +88,12 @@ def search_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@landed
 def prepared_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Search rows with their canonical ``doi``, as the first stage leaves them."""
     rows = search_rows(spark, sf)
     return rows.withColumn("doi", format_doi(F.col("prism_doi")))
 
 
-@landed
 def works(spark: SparkSession, sf: str) -> DataFrame:
     """One work record as JSON text per line item."""
     body = """
@@ -123,7 +133,7 @@ def works(spark: SparkSession, sf: str) -> DataFrame:
       'cited_by_percentile_year', named_struct('min', l_linenumber, 'max', cast(l_quantity as int)),
       'counts_by_year', array(named_struct('year', year(l_shipdate), 'cited_by_count', l_linenumber))
     ))"""
-    return _lines(spark, sf).selectExpr(
+    return _dealt(_lines(spark, sf), spark, sf).selectExpr(
         *LINE_ORDER,
         "if(l_returnflag = 'R' and l_linestatus = 'O', null,"
         " 'https://doi.org/10.1000/w' || l_orderkey) as doi",
@@ -131,7 +141,6 @@ def works(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@landed
 def responses(spark: SparkSession, sf: str) -> DataFrame:
     """One landed lookup per line item, several for most keys."""
     body = """
@@ -140,7 +149,7 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
       'publication_date', date_format(l_shipdate, 'yyyy-MM-dd'),
       'biblio', named_struct('volume', l_linenumber),
       'authorships', array(named_struct('author', named_struct('id', 'S' || l_suppkey)))))"""
-    return _lines(spark, sf).selectExpr(
+    return _dealt(_lines(spark, sf), spark, sf).selectExpr(
         *LINE_ORDER,
         "'https://doi.org/10.1000/ord.' || (l_orderkey div 2) as doi",
         "case when l_returnflag <> 'R' then 200 when l_linenumber = 1 then 404"
@@ -220,26 +229,22 @@ def _suppliers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@landed
 def authorship_cells(spark: SparkSession, sf: str) -> DataFrame:
     lines = _lines(spark, sf).join(
         _suppliers(spark, sf), F.col("l_suppkey") == F.col("s_suppkey"))
-    return _enriched(lines, AUTHORSHIPS)
+    return _enriched(_dealt(lines, spark, sf), AUTHORSHIPS)
 
 
-@landed
 def grant_cells(spark: SparkSession, sf: str) -> DataFrame:
     parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
     lines = _lines(spark, sf).join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    return _enriched(lines.selectExpr("*", GRANT_LIST), GRANTS)
+    return _enriched(_dealt(lines, spark, sf).selectExpr("*", GRANT_LIST), GRANTS)
 
 
-@landed
 def count_cells(spark: SparkSession, sf: str) -> DataFrame:
-    return _enriched(_lines(spark, sf), COUNTS)
+    return _enriched(_dealt(_lines(spark, sf), spark, sf), COUNTS)
 
 
-@landed
 def enriched_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Enriched rows with all three list cells and the search columns."""
     parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type")
@@ -247,10 +252,9 @@ def enriched_rows(spark: SparkSession, sf: str) -> DataFrame:
         _lines(spark, sf)
         .join(_suppliers(spark, sf), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .selectExpr("*", GRANT_LIST)
     )
     return _enriched(
-        lines, AUTHORSHIPS, GRANTS, COUNTS,
+        _dealt(lines, spark, sf).selectExpr("*", GRANT_LIST), AUTHORSHIPS, GRANTS, COUNTS,
         "'SID:' || l_orderkey || '.' || l_linenumber as dc_identifier",
         "cast(l_shipdate as date) as prism_coverdate",
         "cast(l_quantity as int) as citedby_count",
@@ -295,7 +299,6 @@ def search_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@landed
 def abstracts(spark: SparkSession, sf: str) -> DataFrame:
     """One abstract record as JSON text per document, its whole text the title."""
     return table(spark, sf, "documents").selectExpr("doc_id", """

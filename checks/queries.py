@@ -502,7 +502,8 @@ def exclude_existing(spark, sf):
 
 @query
 def star_join_read(spark, sf):
-    rows = normalize.typed_rows(feed.authorship_cells(spark, sf))
+    cells_ = normalize.typed_rows(feed.authorship_cells(spark, sf))
+    rows = normalize.stage_authorships(cells_, LINE_ORDER, fresh_path(spark, "authorships"))
     stored_as = {}
     for name in ("authorship_institutions", "authors", "institutions"):
         path = fresh_path(spark, name)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from bibspark.operators.keyed import upsert
+from bibspark.session import shuffles_freed
 
 BUCKETS = 16  # for tables of some GB; name more for larger ones, so that a bucket stays small
 _BUCKET = "_bucket"
@@ -103,7 +104,7 @@ def merge(source: DataFrame, root: str, keys: Sequence[str], schema: StructType
 
     ``buckets`` counts for the first load of a table and stays as it is from then on. The
     load begins ``since`` a version, the newest by default. ``source`` is read twice, for
-    its buckets and for its rows: hand in a stored table.
+    its buckets, which takes its keys only, and for its rows: hand in one that rests on a stored table.
     """
     spark = source.sparkSession
     before = since or current(spark, root)
@@ -116,6 +117,7 @@ def merge(source: DataFrame, root: str, keys: Sequence[str], schema: StructType
     writer = uuid.uuid4().hex
     merged = upsert(old, source.select(*old.columns), keys).withColumn(_BUCKET, bucket_of(keys, buckets))
     # a bucket is written by the tasks that hold its rows; a heavy one is split at run time
-    merged.hint("rebalance", F.col(_BUCKET)).write.partitionBy(_BUCKET).parquet(f"{root}/data/{writer}")
+    with shuffles_freed(spark):
+        merged.hint("rebalance", F.col(_BUCKET)).write.partitionBy(_BUCKET).parquet(f"{root}/data/{writer}")
     folders = {**before.folders, **{b: f"data/{writer}/{_BUCKET}={b}" for b in touched}}
     return _publish(spark, root, Version(before.number + 1, buckets, folders), writer)

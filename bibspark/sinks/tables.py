@@ -12,7 +12,7 @@ from bibspark.functions.dates import year_at_load
 from bibspark.operators.dedupe import keep_last
 from bibspark.operators.frames import conform
 from bibspark.operators.quality import any_null
-from bibspark.session import fresh_path
+from bibspark.session import fresh_path, shuffles_freed
 from bibspark.sinks.buckets import BUCKETS, current, merge, read_buckets
 from bibspark.sources.files import read_stored
 
@@ -53,13 +53,16 @@ def load_table(source: DataFrame, root: str, table: Table, order: Sequence[str],
 
     Rows without a whole key are not loaded: they are added to ``rejects`` beside the
     table, or replace what is at the place that ``rejects`` names.
+    table, or replace what is at the place that ``rejects`` names. ``source`` is computed
+    once, into the shared folder: both kinds of rows are read from there.
     """
-    whole, broken = split_null_keys(source, table)
+    spark = source.sparkSession
+    staged = fresh_path(spark, table.name)
+    with shuffles_freed(spark):
+        source.write.option("compression", "zstd").parquet(staged)
+    whole, broken = split_null_keys(spark.read.schema(source.schema).parquet(staged), table)
     if rejects:
         broken.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(rejects)
     elif not broken.isEmpty():
         broken.write.mode("append").parquet(f"{root}/rejects")
-    spark = source.sparkSession
-    staged = fresh_path(spark, table.name)
-    prepare(whole, table, order).write.parquet(staged)
-    return merge(spark.read.schema(table.schema).parquet(staged), root, table.key, table.schema, buckets)
+    return merge(prepare(whole, table, order), root, table.key, table.schema, buckets)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bibspark import catalogue
+from bibspark.llm.rows import written
 from bibspark.operators import quality
 from bibspark.plans import normalize
 from bibspark.session import fresh_path, shared_folder, shuffles_freed
@@ -95,6 +96,13 @@ def test_shuffles_go_when_the_table_is_written(spark):
     assert spark.conf.get(key, None) == was
 
 
+def test_a_written_stage_of_an_operator_leaves_no_shuffles(spark):
+    before = shuffle_files(spark)
+    stage = written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "stage")
+    assert not shuffle_files(spark) - before
+    assert stage.count() == 7
+
+
 def test_normalized_tables_leave_no_shuffles(spark, tables_dir):
     enriched = feed.enriched_rows(spark, tables_dir)
     before = shuffle_files(spark)

@@ -173,6 +173,11 @@ GRANTS_TYPE = (
     " award_id: string>>"
 )
 COUNTS_TYPE = "array<struct<year: int, cited_by_count: int>>"
+#: The fields of an authorship that publication_authorships takes.
+AUTHORSHIP_LINKS_TYPE = (
+    "array<struct<author: struct<id: string>, author_position: string,"
+    " is_corresponding: boolean, raw_author_name: string>>"
+)
 LIST_CELLS = {
     "oa_authorships": AUTHORSHIPS_TYPE,
     "oa_grants": GRANTS_TYPE,

@@ -30,12 +30,14 @@ def _text_cells(enriched: DataFrame) -> list[str]:
 _JUDGED = "_judged_cells"
 
 
-def typed_rows(enriched: DataFrame) -> DataFrame:
+def typed_rows(enriched: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
     """Rows that have a ``doi``, their list cells as typed arrays.
 
-    A cell that is already an array stays as it is.
+    A cell that is already an array stays as it is. ``types`` may give a cell a type of
+    fewer fields, where a reader takes no others: the rest is parsed but not made.
     """
-    parsed = {name: parse_list(F.col(name), catalogue.LIST_CELLS[name]) for name in _text_cells(enriched)}
+    types = catalogue.LIST_CELLS | (types or {})
+    parsed = {name: parse_list(F.col(name), types[name]) for name in _text_cells(enriched)}
     valid = enriched.filter(F.col("doi").isNotNull())
     return valid.withColumns(parsed) if parsed else valid
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bibspark import catalogue
+from bibspark.functions.cells import parse_list
 from bibspark.llm.rows import written
 from bibspark.operators import quality
 from bibspark.plans import normalize
@@ -108,3 +109,22 @@ def test_normalized_tables_leave_no_shuffles(spark, tables_dir):
     before = shuffle_files(spark)
     paths = normalize.write_normalized(enriched, feed.LINE_ORDER, fresh_path(spark, "normalized"), staging=fresh_path(spark, "typed"))
     assert len(paths) == 10 and not shuffle_files(spark) - before
+
+
+def test_links_make_only_the_fields_they_take(spark, tables_dir, monkeypatch):
+    whole = normalize.publication_authorships(normalize.typed_rows(feed.authorship_cells(spark, tables_dir)), feed.LINE_ORDER)
+    made = []
+    monkeypatch.setattr(normalize, "parse_list", lambda cell, kind: made.append(kind) or parse_list(cell, kind))
+    links = queries._authorships(spark, tables_dir)
+    assert len(made) == 1 and not any(name in made[0] for name in ("orcid", "institutions", "countries"))
+    rows = sorted(map(str, links.collect()))
+    assert rows and rows == sorted(map(str, whole.collect()))
+
+
+def test_a_narrow_type_keeps_rows_with_bad_elements(spark):
+    cells = ['[{"author": {"id": "A", "orcid": 3}, "author_position": "first", "is_corresponding": "x"}, "stray", null]',
+             '[{"author": "oops", "raw_author_name": {"a": 1}}, {"author": {"id": "B"}, "institutions": "none"}]', "not json", '{"author": 1}', None, "[]"]
+    rows = spark.createDataFrame([(i, f"d{i}", c) for i, c in enumerate(cells)], "seq int, doi string, oa_authorships string")
+    taken = ["seq", "oa_authorships.author.id", "oa_authorships.author_position", "oa_authorships.is_corresponding", "oa_authorships.raw_author_name"]
+    whole = normalize.typed_rows(rows).select(*taken).orderBy("seq").collect()
+    assert normalize.typed_rows(rows, {"oa_authorships": catalogue.AUTHORSHIP_LINKS_TYPE}).select(*taken).orderBy("seq").collect() == whole

@@ -4,11 +4,13 @@ The lexicon holds the terms that are in two documents or more and whose share of
 documents lies in a band, counted for each term by itself. As each of them is in one of
 1 / RAREST documents, there are at most 1 / RAREST times as many as a document has terms
 on average, whatever the number of documents. So all tasks get it whole, as one value of
-SLOTS short lists, in which a text's terms are looked up where the text is; a lexicon of
-more than MOST terms (texts of a thousand terms on average) is joined to the texts'
-terms instead. A random part of the lexicon, the smaller the more terms a text has, is
-dealt to SUBSETS subsets, and each subset's distinct terms in the text are sorted and
-hashed. Two such levels are kept, so that texts of slightly different size share one.
+SLOTS short lists, in which a text's terms are looked up where the text is. The value is
+that of a scalar subquery: a literal would stand whole in every plan that Spark writes
+out, and the driver keeps those. A lexicon of more than MOST terms (texts of a thousand
+terms on average) is joined to the texts' terms instead. A random part of the lexicon,
+the smaller the more terms a text has, is dealt to SUBSETS subsets, and each subset's
+distinct terms in the text are sorted and hashed. Two such levels are kept, so that texts
+of slightly different size share one.
 """
 
 from __future__ import annotations
@@ -42,14 +44,13 @@ def lexicon(docs: DataFrame, rarest: float = RAREST, commonest: float = COMMONES
     return written(inside.select("term"), "lexicon")
 
 
-def in_slots(known: DataFrame) -> Column:
-    """A lexicon of at most MOST terms as one value: the terms of each slot, in a list."""
+def in_slots(known: DataFrame) -> DataFrame:
+    """A lexicon of at most MOST terms as one row, ``slots``: the terms of each slot, in a list."""
     lists = known.groupBy(_slot(F.col("term")).alias("slot")).agg(F.collect_list("term").alias("own"))
     every = known.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot")).join(lists, "slot", "left")
     own = F.coalesce("own", F.array().cast("array<bigint>"))
     whole = every.agg(F.array_sort(F.collect_list(F.struct("slot", own.alias("own")))).alias("slots"))
-    value = whole.select(F.to_json(F.transform("slots", lambda x: x["own"]))).first()[0]
-    return F.from_json(F.lit(value), "array<array<bigint>>")  # of a literal, so Spark computes it once
+    return written(whole.select(F.transform("slots", lambda x: x["own"]).alias("slots")), "lexicon_slots")
 
 
 def _slot(term: Column) -> Column:
@@ -65,6 +66,18 @@ def looked_up(slots: Column):
     return use
 
 
+def with_looked_up(rows: DataFrame, text: Column, slots: DataFrame, name: str, use) -> DataFrame:
+    """``rows`` with ``use(text, fingerprint)`` for such a lexicon.
+
+    Spark takes no subquery inside a lambda, but moves one there from a column that is
+    used once. It does not if ``text`` takes a computed column more than once or if such
+    a column is kept beside it; the rows then carry the lexicon along, with the same result.
+    """
+    look = looked_up(F.col("_slots"))
+    own = _bound(text, lambda t: _bound(look(t), lambda found: use(t, fingerprint(t, found))))
+    return rows.withColumn("_slots", slots.scalar()).withColumn(name, own).drop("_slots")
+
+
 def with_joined(rows: DataFrame, text: str, known: DataFrame, name: str) -> DataFrame:
     """``rows`` with such a struct of a text column, for a lexicon of any size; equal texts share them."""
     a, b = F.xxhash64(text), F.xxhash64(F.lit(1), text)
@@ -155,10 +168,10 @@ def with_next(docs: DataFrame, marked) -> DataFrame:
     """doc_id, text, own and next(text, own), in descending id; after the last comes the first.
 
     Texts move once, to the group of ids they are in; each group also gets the rows of
-    the largest id below it. ``marked`` adds ``own`` to the rows that move.
+    the largest id below it. ``marked`` adds ``own``, made of a text, to the rows that move.
     """
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOWEST)).alias("id"),
-                       F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOWEST)).alias("id"), "text")
+    text = F.coalesce("text", F.lit(""))
     bucket = F.floor(F.col("id") / _BUCKET)
     groups = written(rows.select("id").groupBy(bucket.alias("bucket")).agg(F.max("id").alias("top")), "id_groups")
     first = groups.agg(F.max("top")).first()[0]
@@ -166,7 +179,7 @@ def with_next(docs: DataFrame, marked) -> DataFrame:
         "bucket", F.coalesce("next_id", F.lit(first)).cast("bigint").alias("id")), "id_edges")
     guests = rows.join(below, "id").select("id", "text", "bucket", F.lit(True).alias("guest"))
     at_home = rows.select("id", "text", bucket.alias("bucket"), F.lit(False).alias("guest"))
-    both = marked(at_home, "text", "own").unionByName(marked(guests, "text", "own"))
+    both = marked(at_home, text, "own").unionByName(marked(guests, text, "own")).withColumn("text", text)
     order = Window.partitionBy("bucket").orderBy("guest", F.desc("id"), F.xxhash64("text"), "text")
     following = F.lead(F.struct("text", "own")).over(order)
     return both.withColumn("next", following).filter("not guest").select(
@@ -182,26 +195,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     document. A NULL text is empty; texts without any term are alike only if equal.
     """
     known = lexicon(docs.select("text"))
-    if known.count() <= MOST:
-        look = looked_up(in_slots(known))
+    slots = in_slots(known) if known.count() <= MOST else None
 
-        def marked(rows: DataFrame, text: str, name: str) -> DataFrame:
-            return rows.withColumn(name, _bound(look(F.col(text)), lambda found: fingerprint(F.col(text), found)))
-    else:
-        def marked(rows: DataFrame, text: str, name: str) -> DataFrame:
-            return with_joined(rows, text, known, "_found").withColumn(
-                name, fingerprint(F.col(text), F.col("_found"))).drop("_found")
+    def marked(rows: DataFrame, text: Column, name: str, use=lambda text, fp: fp) -> DataFrame:
+        if slots is not None:
+            return with_looked_up(rows, text, slots, name, use)
+        found = with_joined(rows.withColumn("_text", text), "_text", known, "_found")
+        made = use(F.col("_text"), fingerprint(F.col("_text"), F.col("_found")))
+        return found.withColumn(name, made).drop("_text", "_found")
 
-    rows = with_next(docs, marked)
     half = F.floor(F.length("text") / 2).cast("int")
-    rows = rows.select(
-        "doc_id", F.length("text").cast("bigint").alias("n_chars"), "own", F.col("next.own").alias("following"),
-        F.concat(F.substring("text", F.lit(1), F.length("text") - half),
-                 F.substring("next.text", F.lit(1), half)).alias("edited"))
-    rows = written(marked(rows, "edited", "other").select(
-        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "own", "other",
-        "following"), "marked")
-    own, other = F.col("own"), F.col("other")
+    edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next.text", F.lit(1), half))
+    rows = marked(with_next(docs, marked), edited, "edited", lambda text, fp: F.struct(
+        F.sha2(text.cast("binary"), 256).alias("sha256"), fp.alias("fp")))
+    rows = written(rows.select(
+        "doc_id", F.length("text").cast("bigint").alias("n_chars"), "own", F.col("next.own").alias("following"), "edited"),
+        "marked")
+    own, other = F.col("own"), F.col("edited.fp")
     return rows.select(
-        "doc_id", "n_chars", "edited_sha256", shown(own).alias("fingerprint"), shown(other).alias("edited_fingerprint"),
+        "doc_id", "n_chars", F.col("edited.sha256").alias("edited_sha256"),
+        shown(own).alias("fingerprint"), shown(other).alias("edited_fingerprint"),
         likeness(own, other).alias("near_edited"), likeness(own, F.col("following")).alias("near_next"))

@@ -66,6 +66,41 @@ def test_a_lexicon_of_any_size_gives_the_same(spark, documents, monkeypatch, rng
     assert sorted(map(str, fingerprints(frame).collect())) == small
 
 
+def test_no_plan_holds_the_lexicon(spark, documents, monkeypatch, rng):
+    from bibspark.llm import fingerprints as module
+
+    frame = documents([(i, sentence(rng, 60)) for i in range(100)])
+    known = {str(r.term) for r in lexicon(frame.select("text")).collect()}
+    assert len(known) > 100
+    plans, kept = {}, module.written
+
+    def spied(df, name):
+        plans[name] = df._jdf.queryExecution().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(module, "written", spied)
+    rows = fingerprints(frame)
+    plans["result"] = rows._jdf.queryExecution().toString()
+    for name, plan in plans.items():
+        assert not any(t in plan for t in known), name
+    # nor do rows carry it from one step to the next
+    assert "AS _slots" not in plans["marked"].split("== Physical Plan ==")[1]
+
+
+def test_a_lexicon_that_rows_carry_gives_the_same(spark, documents, rng):
+    from bibspark.llm.fingerprints import fingerprint, in_slots, with_joined, with_looked_up
+
+    frame = documents([(i, sentence(rng, 60)) for i in range(100)])
+    known = lexicon(frame.select("text"))
+    rows = frame.select("doc_id", F.upper("text").alias("t"))
+    twice = F.concat("t", F.lit(" "), "t")
+    got = with_looked_up(rows, twice, in_slots(known), "own", lambda text, fp: fp)
+    assert "AS _slots" in got._jdf.queryExecution().executedPlan().toString()
+    joined = with_joined(rows.withColumn("e", twice), "e", known, "found")
+    want = joined.select("doc_id", "t", fingerprint(F.col("e"), F.col("found")).alias("own"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def brute_fingerprint(text, hashes_of, known):
     """The level and the terms of each subset, with sets of Python."""
     all_ = hashes_of[text]

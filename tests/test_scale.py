@@ -12,6 +12,7 @@ from bibspark.operators import quality
 from bibspark.plans import normalize
 from bibspark.session import fresh_path, shared_folder, shuffles_freed
 from bibspark.sinks import tables
+from bibspark.sinks.files import part_counts, write_parts
 from checks import feed, queries
 
 
@@ -111,6 +112,13 @@ def test_normalized_tables_leave_no_shuffles(spark, tables_dir):
     assert len(paths) == 10 and not shuffle_files(spark) - before
 
 
+def test_exact_parts_leave_no_shuffles(spark, tmp_path):
+    before = shuffle_files(spark)
+    write_parts(spark.range(1000).repartition(3, "id"), str(tmp_path / "parts"), ["id"], 300)
+    assert not shuffle_files(spark) - before
+    assert sorted(r.n_rows for r in part_counts(spark, str(tmp_path / "parts")).collect()) == [100, 300, 300, 300]
+
+
 def test_links_make_only_the_fields_they_take(spark, tables_dir, monkeypatch):
     whole = normalize.publication_authorships(normalize.typed_rows(feed.authorship_cells(spark, tables_dir)), feed.LINE_ORDER)
     made = []

@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from bibspark import catalogue
 from bibspark.functions import cells, coerce
+from bibspark.session import methods_compiled
 
 
 def _text_schema(paths: Iterable[str]) -> StructType:
@@ -56,6 +57,7 @@ def work_columns(record: str) -> list[Column]:
 
 def flatten_work(df: DataFrame, body: str = "body") -> DataFrame:
     """Replace a JSON work column by its flat ``oa_`` columns."""
+    methods_compiled(df.sparkSession)
     others = [c for c in df.columns if c != body]
     return df.withColumn("_work", work_record(F.col(body))).select(*others, *work_columns("_work"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bibspark import catalogue
 from bibspark.functions.cells import parse_list
 from bibspark.llm.rows import written
-from bibspark.operators import quality
+from bibspark.operators import quality, works
 from bibspark.plans import normalize
 from bibspark.session import fresh_path, shared_folder, shuffles_freed
 from bibspark.sinks import tables
@@ -119,6 +119,20 @@ def test_exact_parts_leave_no_shuffles(spark, tmp_path):
     assert sorted(r.n_rows for r in part_counts(spark, str(tmp_path / "parts")).collect()) == [100, 300, 300, 300]
 
 
+@pytest.mark.parametrize("given", [None, "60000"])
+def test_wide_projections_are_compiled_in_any_session(spark, given):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    was = spark.conf.get(limit)
+    try:
+        spark.conf.unset(limit) if given is None else spark.conf.set(limit, given)
+        bodies = spark.createDataFrame([('{"id": "W1", "fwci": 0.5}',)], "body string")
+        row = works.flatten_work(bodies).first()
+        assert (row.oa_id, row.oa_fwci) == ("W1", 0.5)
+        assert spark.conf.get(limit) == (given or "8000")
+    finally:
+        spark.conf.set(limit, was)
+
+
 def test_links_make_only_the_fields_they_take(spark, tables_dir, monkeypatch):
     whole = normalize.publication_authorships(normalize.typed_rows(feed.authorship_cells(spark, tables_dir)), feed.LINE_ORDER)
     made = []
